@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 _written: list[str] = []
+_shipped: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,8 +51,23 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once for each application."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    _shipped.add(spark.sparkContext.applicationId)
+    root = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="leafmill-code-")
+    atexit.register(shutil.rmtree, folder, True)
+    with zipfile.ZipFile(f"{folder}/leafmill.zip", "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(f"{folder}/leafmill.zip")
+
+
 def arrow_limits(spark: SparkSession, rows: int = 1000, size: str = "16m") -> None:
     """Bound an Arrow batch by rows and bytes, so that very long texts don't pile up in a Python worker."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 

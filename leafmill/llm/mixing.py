@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Documents rounded in one task, and residuals that meet at one node of the tree.
-CHUNK, FAN_IN = 20_000, 256
+CHUNK, FAN_IN = 4_000, 256
 WEIGHTS = (5.0, 2.0, 1.0)
 
 
@@ -88,7 +88,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     documents are all empty has target 0. Only (id, source, size) is shuffled, in chunks that hold
     ``chunk`` documents on average whatever the source, so a source with a third of all rows is split.
     """
-    spark = docs.sparkSession
+    common.ship(docs.sparkSession)
     words = F.regexp_count(common.text_of(text_col), F.lit(common.WORD)).cast("long")
     sizes = common.materialise(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words.alias("size")), "mix-sizes")
     per = common.materialise(source_targets(sizes, "source", weights, share, cap), "mix-targets")
