@@ -12,6 +12,7 @@ from __future__ import annotations
 import zlib
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,25 +21,56 @@ from pyspark.sql import types as T
 
 from . import common
 
-CHUNK, ROUNDS, CACHE = 20_000, 6, 600_000
+CHUNK, ROUNDS, CACHE = 20_000, 6, 800_000
+
+
+_TAIL = b".,;:!?%$#*&|"
 
 
 @lru_cache(maxsize=2)
 def _encoder(path: str):
     from tokenizers import Tokenizer
 
-    tokenizer, known = Tokenizer.from_file(path), {}
+    tokenizer = Tokenizer.from_file(path)
+    vocabulary = tokenizer.get_vocab()
+    closes = np.zeros(max(vocabulary.values()) + 1, bool)
+    closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+    known: dict[bytes, bytes] = {}
+
+    def ids(text: str) -> bytes:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def learn(words: list[bytes]) -> None:
+        """Words of letters alone are one unit each, so many are encoded at once: a unit ends with a closing token."""
+        texts = [w.decode() for w in words]
+        plain = [n for n, t in enumerate(texts) if t.isalpha()]
+        got = ids(" ".join([texts[n] for n in plain]))
+        ends = (np.flatnonzero(closes[np.frombuffer(got, "<u4")]) + 1) * 4
+        if len(ends) == len(plain):
+            at = 0
+            for n, end in zip(plain, ends.tolist(), strict=True):
+                known[words[n]] = got[at:end]
+                at = end
+        for w, t in zip(words, texts, strict=True):
+            if w not in known:
+                known[w] = ids(t)
 
     def encode(text: bytes) -> bytes:
         """Ids as little-endian 32-bit numbers. No token spans ASCII white space, so each run between is encoded once."""
-        parts = text.split()
-        new = list({x for x in parts if x not in known})
+        if b"<|" in text:  # may hold a special token's string, which is told apart by case
+            return ids(text.decode())
+        parts = text.lower().split()
+        new = set(parts).difference(known)
         if new:
             if len(known) > CACHE:
                 known.clear()
-                new = list(set(parts))
-            for x, got in zip(new, tokenizer.encode_batch([x.decode() for x in new], add_special_tokens=False), strict=True):
-                known[x] = b"".join(i.to_bytes(4, "little") for i in got.ids)
+                new = set(parts)
+            # a run of punctuation after a letter is a unit of its own
+            cut = {x: len(b) for x in new if (b := x.rstrip(_TAIL)) != x and b[-1:].isalpha()}
+            need = new.difference(cut) | {x[:n] for x, n in cut.items()} | {x[n:] for x, n in cut.items()}
+            learn(list(need.difference(known)))
+            for x, n in cut.items():
+                known[x] = known[x[:n]] + known[x[n:]]
         return b"".join([known[x] for x in parts])
 
     return encode
@@ -116,6 +148,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, key_cols: tuple[str, ...] = ("
     shuffled. Other pieces are dealt by a hash of their key into chunks of about ``chunk``; only numbers move.
     Each round's table lies in the shared folder, so a lost executor costs one round at most.
     """
+    common.ship(pieces.sparkSession)
     full = pieces.where(F.col("length") >= capacity).withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
     level = pieces.where(F.col("length") < capacity)
     schema = T.StructType([*pieces.schema.fields, *(T.StructField(x, T.LongType()) for x in ("sequence_id", "offset")), T.StructField("open", T.BooleanType())])

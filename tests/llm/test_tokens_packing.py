@@ -115,3 +115,10 @@ def test_the_bound_never_exceeds_the_best_packing(lengths):
 
     put(0, [])
     assert packing.lower_bound(list(lengths), 10) <= best <= len(packing.best_fit_decreasing(list(lengths), 10))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*"abTh é'.,!%#İß1٣ \n\u0301", "<|endoftext|>", "'s", "<|"]), max_size=30).map("".join))
+def test_any_text_is_encoded_as_the_library_does(text):
+    got = packing._encoder(WORD)(text.encode())
+    assert [int.from_bytes(got[i : i + 4], "little") for i in range(0, len(got), 4)] == library_ids(text)[:-1]
