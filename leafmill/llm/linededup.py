@@ -59,7 +59,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Lines end at a newline; those with fewer than ``min_tokens`` tokens are never dropped. Documents are compared as
     (id, text): rows repeated in full count as one document and are treated alike; a null text has no lines
     to drop and stays null; a null id sorts last. Of a recurring template the occurrence in the smallest id
-    stays, so no passage is lost altogether. A column of the table that is called like one made here is kept,
+    stays, so no passage is lost altogether. A document of which nothing would be left is a copy, not one that hosts
+    boilerplate: it stays whole, for deduplication of documents to judge. A column of the table that is called like one made here is kept,
     and the new one replaces it only for n_lines and n_dropped. ``lines`` of one document is bounded by its text.
     """
     drops = repeated_lines(docs, id_col, text_col, min_docs, **tree)
@@ -67,6 +68,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same = docs[id_col].eqNullSafe(F.col("__lm_id")) & (F.xxhash64(common.text_of(docs[text_col])) == F.col("__lm_hash"))
     out = docs.join(drops, same, "left")
     lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.when(F.col("__lm_lines").isNull(), F.col(text_col)).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__lm_lines", i)), "\n"))
-    out = out.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long")).withColumn("n_dropped", F.coalesce(F.size("__lm_lines"), F.lit(0)).cast("long"))
-    return out.withColumn(text_col, kept).drop("__lm_id", "__lm_hash", "__lm_lines")
+    out = out.withColumn("__lm_kept", F.when(F.col("__lm_lines").isNotNull(), F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__lm_lines", i)), "\n")))
+    cut = F.coalesce(F.col("__lm_kept").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    out = out.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long")).withColumn("n_dropped", F.when(cut, F.size("__lm_lines")).otherwise(F.lit(0)).cast("long"))
+    return out.withColumn(text_col, F.when(cut, F.col("__lm_kept")).otherwise(F.col(text_col))).drop("__lm_id", "__lm_hash", "__lm_lines", "__lm_kept")
