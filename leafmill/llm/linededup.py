@@ -66,7 +66,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drops = repeated_lines(docs, id_col, text_col, min_docs, **tree)
     drops = common.materialise(drops.select(F.col("id").alias("__lm_id"), F.col("text_hash").alias("__lm_hash"), F.col("lines").alias("__lm_lines")), "line-drops")
     same = docs[id_col].eqNullSafe(F.col("__lm_id")) & (F.xxhash64(common.text_of(docs[text_col])) == F.col("__lm_hash"))
-    out = docs.join(drops, same, "left")
+    out = docs.join(drops.hint("merge"), same, "left")  # one plan at every size
     lines = F.split(F.col(text_col), "\n", -1)
     out = out.withColumn("__lm_kept", F.when(F.col("__lm_lines").isNotNull(), F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__lm_lines", i)), "\n")))
     cut = F.coalesce(F.col("__lm_kept").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
