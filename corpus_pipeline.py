@@ -1,15 +1,74 @@
-"""The corpus pipeline: each stage maps a table of documents to the next one."""
+"""The corpus pipeline: toxic documents go, recurring lines go, near copies go, sources are mixed, the rest is packed.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is stored before the next stage reads
+it; all but the last return the columns of documents. ``run`` stores them in the folder of ``spark.checkpoint.dir``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leafmill.llm import common, jaccard, linededup, mixing, packing, toxicity
+
+
+def _start() -> None:
+    """A stage's input is stored, so the tables that earlier stages worked with are no longer read."""
+    common.release(SparkSession.active())
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: documents predicted toxic go."""
+    _start()
+    labels = common.table(spark, sf_dir, "labels")
+    scored = toxicity.toxicity_scores(docs, labels, keep=True)
+    return scored.where("predicted = 0").select(*docs.columns)
+
+
+def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: later occurrences of recurring lines go from the texts; n_chars follows. No document goes."""
+    _start()
+    out = linededup.line_dedup(docs)
+    changed = out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return changed.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: of each group of linked documents the one with the smallest id stays."""
+    _start()
+    return jaccard.keep_one(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: each document as often as the mix takes it, from not at all to twice."""
+    _start()
+    rows = common.materialise(docs.withColumn("__lm_row", F.monotonically_increasing_id()), "mix-rows")
+    taken = mixing.mix_sources(rows, id_col="__lm_row").where("copies > 0").select("__lm_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("__lm_copy"))
+    return rows.join(taken, "__lm_row").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: the mix as sequences of at most 2048 tokens, a row a piece."""
+    _start()
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
 
-STAGES: list = []
+STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_recurring_lines), ("jaccard_join", drop_near_copies), ("mix_sources", mix), ("best_fit_packing", pack)]
+#: No SQL: scores come from a trained model and packing from a search. Tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages over documents; each result is stored and read again."""
+    docs = common.table(spark, sf_dir, "documents")
+    kept = []
+    for name, stage in STAGES:
+        path = f"{common.shared_dir(spark)}/leafmill-pipeline/{name}-{spark.sparkContext.applicationId}-{common.uuid.uuid4().hex}"
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        kept.append(path)
+    for path in kept[:-1]:
+        common.delete(spark, path)
     return docs

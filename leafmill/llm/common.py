@@ -44,11 +44,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, place: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the tables that ``materialise`` wrote. Results not yet stored elsewhere are lost."""
     while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, _written.pop())
 
 
 def ship(spark: SparkSession) -> None:
