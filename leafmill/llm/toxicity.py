@@ -150,7 +150,7 @@ class LabelModel:
         self.prior = min(max(prior, 1e-3), 1 - 1e-3)
         for step in range(rounds):
             self.rates = np.stack([(np.tensordot(c, seen, axes=(0, 0)) + 0.5) / (c.sum() + 1.5) for c in (1 - q, q)])
-            if step >= 5:
+            if step:
                 self.correlations = self._correlations(votes, q)
                 together = np.maximum(self.correlations, 0)
                 np.fill_diagonal(together, 0)

@@ -80,7 +80,6 @@ def chained_rows():
 @pytest.mark.parametrize("pivots", [2, 8])
 def test_links_of_chains_stars_and_passages(spark, pivots, monkeypatch):
     rows = chained_rows()
-    monkeypatch.setattr(jaccard, "PIVOTS", pivots)
     monkeypatch.setattr(jaccard.links, "__defaults__", (80, pivots, 0.4))
     monkeypatch.setattr(jaccard, "HOT_LEAST", 20)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
@@ -109,6 +108,13 @@ def test_sets_alike_share_a_prefix_in_any_order(x, y):
         assert len(np.intersect1d(pa, pb))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 400), max_size=600), st.lists(st.integers(0, 400), max_size=90))
+def test_sketches_bound_what_is_shared(x, y):
+    a, b = (np.unique(jaccard._mix(np.array(v, np.uint64))) for v in (x, y))
+    assert len(np.intersect1d(a, b)) <= jaccard.most_shared(jaccard.sketch(a), jaccard.sketch(b), len(a), len(b)) <= min(len(a), len(b))
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), min_size=1, max_size=40))
 def test_components(spark, edges):
@@ -260,7 +266,7 @@ def test_label_model_finds_good_voters_and_shares_weight():
     y = rng.random(4000) < 0.3
     vote = lambda right: np.where(rng.random(4000) < right, y, ~y) * 2 - 1
     good, fair = vote(0.95), vote(0.75)
-    votes = np.stack([good, fair, vote(0.75), vote(0.5), fair], axis=1).astype(np.int8)
+    votes = np.stack([good, fair, vote(0.75), vote(0.5), fair, vote(0.8), vote(0.85), vote(0.8)], axis=1).astype(np.int8)
     model = toxicity.LabelModel(votes, 0.3)
     assert model.accuracy[0] > model.accuracy[1] > model.accuracy[3] and model.weights[1] < model.weights[2] and model.correlations[1, 4] > 0.9
     assert ((model.posterior > 0.5) == y).mean() > 0.9
