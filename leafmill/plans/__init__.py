@@ -1 +1,3 @@
-"""leafmill.plans"""
+"""Registered queries; importing this package registers them all."""
+
+from . import archive, grouping, joining, sampling, scoring, templates, text, validation, windowing  # noqa: F401
