@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import exact, fingerprint, jaccard, linededup, mixing, packing, quality, tokens, toxicity, urls
+from . import exact, fingerprint, jaccard, linededup, mixing, oracles, packing, quality, tokens, toxicity, urls
 from .common import table
 
 
@@ -52,4 +52,4 @@ def op10_fingerprints(spark, sf_dir):
 
 _ALL = (op1_token_counts, op2_jaccard_join, op3_mix_sources, op4_best_fit_packing, op5_url_filters, op6_toxicity, op7_quality, op8_exact_dedup, op9_line_dedup, op10_fingerprints)
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES = {"op8_exact_dedup": exact.ORACLE}
+ORACLES = {"op2_jaccard_join": oracles.JACCARD, "op8_exact_dedup": exact.ORACLE, "op9_line_dedup": oracles.LINES}

@@ -80,7 +80,8 @@ def chained_rows():
 @pytest.mark.parametrize("pivots", [2, 8])
 def test_links_of_chains_stars_and_passages(spark, pivots, monkeypatch):
     rows = chained_rows()
-    monkeypatch.setattr(jaccard.links, "__defaults__", (80, pivots, 0.4))
+    monkeypatch.setattr(jaccard.links, "__defaults__", (80, pivots, 2, 0.4))
+    monkeypatch.setattr(jaccard, "LARGE", 40)
     monkeypatch.setattr(jaccard, "HOT_LEAST", 20)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert joined(jaccard.jaccard_components(df)) == sorted(brute_components(rows), key=key)
