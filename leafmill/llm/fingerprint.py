@@ -280,6 +280,6 @@ def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     common.arrow_limits(spark)
     dealt = rows.select("id", "h", F.col("text").cast("binary")).mapInArrow(deal, kinds + ", packed binary")
-    dealt = dealt.repartition(max(1, len(firsts)), "part").sortWithinPartitions("part", "halo", "unknown", "id", "h")
+    dealt = dealt.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "halo", "unknown", "id", "h")
     out = dealt.mapInArrow(compare, "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
     return out.withColumnRenamed("id", id_col)
