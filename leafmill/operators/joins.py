@@ -1,4 +1,4 @@
-"""Joins the reference data needs: adjacency, text snap, boxes, fuzzy labels, greedy one-to-one matching."""
+"""Joins: adjacency, text snap, boxes, fuzzy labels, greedy one-to-one matching."""
 
 from __future__ import annotations
 
