@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -55,6 +56,12 @@ def release(spark: SparkSession) -> None:
         delete(spark, _written.pop())
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let the driver collect plans that are done with, so that executors delete these plans' shuffle files."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once for each application."""
     if spark.sparkContext.applicationId in _shipped:
@@ -86,9 +93,9 @@ def ascii_lower(column: Column) -> Column:
     return F.when(F.octet_length(column) == F.char_length(column), F.lower(column)).otherwise(F.translate(column, ASCII_UPPER, ASCII_LOWER))
 
 
-def spread(key: Column | str, n: int, salt: int = 0) -> Column:
+def spread(key: Column | str, n: int | Column, salt: int = 0) -> Column:
     """A stable number from 0 to n-1 for each key."""
-    return F.pmod(F.xxhash64(F.lit(salt), key), F.lit(n))
+    return F.pmod(F.xxhash64(F.lit(salt), key), F.lit(n) if isinstance(n, int) else n)
 
 
 def held_out(id_column: str = "doc_id", folds: int = 5) -> Column:

@@ -16,15 +16,19 @@ from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
+from .common import materialise
 from .components import components
 
-SHINGLE, PERCENT, PIVOTS, NEAR = 5, 80, 8, 0.4
+SHINGLE, PERCENT, NEAR = 5, 80, 0.4
+#: Pivots of a region; at first fewer in one of more than LARGE sets, as the first pivots settle a large group of near
+#: copies. Pivots are of different components, so what is settled takes few of them later on.
+PIVOTS, LARGE_PIVOTS, LARGE, BLOCK = 48, 4, 96, 400
 #: Shingles put last in the order: the HOT most common ones of those met HOT_LEAST times; any order gives the same links.
-HOT, HOT_LEAST = 200_000, 50
+HOT, HOT_LEAST = 500_000, 6
 _CHUNK = 2_000_000
 _ODD = (np.random.default_rng(5).integers(0, 2**63, 64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 
@@ -35,7 +39,7 @@ class _Words(dict):
     def __missing__(self, word):
         import xxhash
 
-        if len(self) > 400_000:
+        if len(self) > 800_000:
             self.clear()
         got = self[word] = xxhash.xxh3_64_intdigest(word)
         return got
@@ -55,8 +59,8 @@ def shingles(text: bytes, known: _Words, width: int = SHINGLE) -> np.ndarray:
     w = np.array(list(map(known.__getitem__, words)), np.uint64)
     k = min(width, len(w))
     total = np.full(len(w) - k + 1, k, np.uint64)
-    for j in range(k):
-        total += _mix(w[j : len(w) - k + 1 + j] + np.uint64(j)) * _ODD[j]
+    for j in range(k):  # words' hashes are well mixed, so a weighted sum is
+        total += w[j : len(w) - k + 1 + j] * _ODD[j]
     return np.unique(_mix(total))
 
 
@@ -110,34 +114,75 @@ def prefix(found: np.ndarray, hot: np.ndarray, weight: np.ndarray, percent: int
     return np.concatenate([cold, rest[np.lexsort((rest, weight[at[is_hot]]))][: size - len(cold)]])
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """How many of the set's hashes fall into each of about n/4 bins: what two sets share is at most the sum of the lesser counts."""
+    bins = 64
+    while 4 * bins < len(found):
+        bins *= 2
+    counts = np.bincount((found & np.uint64(bins - 1)).astype(np.int64), minlength=bins)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def most_shared(a: bytes, b: bytes, na: int, nb: int) -> int:
+    """No two sets with these sketches share more."""
+    if not a or not b:
+        return min(na, nb)
+    x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (a, b))
+    m = min(len(x), len(y))
+    return int(np.minimum(x.reshape(-1, m).sum(axis=0), y.reshape(-1, m).sum(axis=0)).sum())
+
+
 def document_sets(docs: DataFrame, id_col: str, text_col: str, percent: int = PERCENT) -> DataFrame:
-    """(id, row, n, digest, prefix, packed): what is needed of each text, stored; ``packed`` is the compressed text."""
+    """(id, row, n, digest, sketch, prefix, packed), stored; ``packed`` is the compressed text.
+
+    The last three are null where the same set came before in the task, so a hot group of copies has one a task.
+    """
     common.arrow_limits(docs.sparkSession)
     hot, weight = common_shingles(docs, text_col)
 
     def run(batches):
         import zstandard
 
-        known, pack = _Words(), zstandard.ZstdCompressor(level=3).compress
+        known, pack, seen = _Words(), zstandard.ZstdCompressor(level=3).compress, set()
         for batch in batches:
-            ns, digests, prefixes, packed = [], [], [], []
+            ns, digests, sketches, prefixes, packed = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingles(text, known)
+                digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+                new = len(found) > 0 and digest not in seen
+                if len(seen) > 500_000:
+                    seen.clear()
+                seen.add(digest)
                 ns.append(len(found))
-                digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                prefixes.append(prefix(found, hot, weight, percent).view(np.int64))
-                packed.append(pack(text))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(digests, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(packed, pa.binary())], names=["id", "n", "digest", "prefix", "packed"])
+                digests.append(digest)
+                sketches.append(sketch(found) if new else None)
+                prefixes.append(prefix(found, hot, weight, percent).view(np.int64) if new else None)
+                packed.append(pack(text) if new else None)
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, (ns, digests, sketches, prefixes, packed), kinds)], names=["id", "n", "digest", "sketch", "prefix", "packed"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    sets = docs.select(F.col(id_col).alias("id"), common.text_of(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, n long, digest binary, prefix array<long>, packed binary")
-    return common.materialise(sets.withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
+    sets = docs.select(F.col(id_col).alias("id"), common.text_of(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, n long, digest binary, sketch binary, prefix array<long>, packed binary")
+    return materialise(sets.withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
+
+
+def _bounds(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, na, nb, most) for each pair of nodes, from their sketches."""
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+    rows = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
+
+    def run(batches):
+        for batch in batches:
+            _, _, na, nb, sa, sb = (c.to_pylist() for c in batch.columns)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(list(map(most_shared, sa, sb, na, nb)), pa.int64())], names=["a", "b", "na", "nb", "most"])
 
+    return rows.mapInArrow(run, "a long, b long, na long, nb long, most long")
 
-def _overlaps(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, both, either): exact sizes of intersection and union for each pair of nodes."""
-    with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("text_a")), "a")
-    rows = with_a.join(texts.select(F.col("node").alias("b"), F.col("packed").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
+
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, both): the exact size of the intersection for each pair of nodes."""
+    texts = sets.select("node", "packed")
+    rows = pairs.select("a", "b").join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
 
     def run(batches):
         import zstandard
@@ -156,75 +201,169 @@ def _overlaps(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             a, b, ta, tb = (c.to_pylist() for c in batch.columns)
-            both, either = [], []
-            for i in range(len(a)):
-                x, y = set_of(b[i], tb[i]), set_of(a[i], ta[i])
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                both.append(shared)
-                either.append(len(x) + len(y) - shared)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64()), pa.array(either, pa.int64())], names=["a", "b", "both", "either"])
+            both = [len(np.intersect1d(set_of(b[i], tb[i]), set_of(a[i], ta[i]), assume_unique=True)) for i in range(len(a))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64())], names=["a", "b", "both"])
+
+    return rows.mapInArrow(run, "a long, b long, both long")
+
+
+def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, low, high, linked): exact where the sketches leave a link open, else what they say of the distance."""
+    bounds = materialise(_bounds(pairs, sets), "bounds")
+    exact = _overlaps(bounds.where(F.col("most") * 100 >= (F.col("na") + F.col("nb") - F.col("most")) * percent), sets)
+    rows = bounds.join(exact, ["a", "b"], "left")
+    either = F.col("na") + F.col("nb") - F.coalesce("both", "most")
+    far = 1 - F.coalesce("both", "most") / either
+    linked = F.coalesce(F.col("both") * 100 >= either * percent, F.lit(False))
+    return materialise(rows.select("a", "b", far.alias("low"), F.when(F.col("both").isNotNull(), far).otherwise(1.0).alias("high"), linked.alias("linked")), "distances")
+
+
+def block_links(texts: list[bytes], comps: list[int], left: list[bool], right: list[bool], percent: int, known: _Words) -> list[tuple[int, int]]:
+    """Links between the left and the right sets that join components; all intersections at once, by products of matrices."""
+    sets = [shingles(t, known) for t in texts]
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    keep = count[token] > 1
+    rows, token = rows[keep], np.unique(token[keep], return_inverse=True)[1]
+    a, b = np.flatnonzero(left), np.flatnonzero(right)
+    both = np.zeros((len(a), len(b)), np.float32)
+    order = np.argsort(token, kind="stable")
+    rows, token = rows[order], token[order]
+    for at in range(0, int(token[-1]) + 1 if len(token) else 0, 4096):
+        part = slice(*np.searchsorted(token, [at, at + 4096]))
+        has = np.zeros((len(sets), 4096), np.float32)
+        has[rows[part], token[part] - at] = 1
+        both += has[a] @ has[b].T
+    sizes = np.array([len(x) for x in sets])
+    either = sizes[a][:, None] + sizes[b][None] - both
+    parent = {c: c for c in comps}
+
+    def find(c):
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    out = []
+    for i, j in zip(*np.nonzero(both * 100 >= either * percent), strict=True):
+        x, y = find(comps[a[i]]), find(comps[b[j]])
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((int(a[i]), int(b[j])))
+    return out
+
+
+def joined_blocks(level: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b): links within regions too large for pivots. A region is cut into blocks and each two blocks meet in one task."""
+    rows = level.select("region", "node", "comp", F.ceil(F.col("size") / block).alias("blocks")).withColumn("own", common.spread("node", F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select("region", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp").join(sets.select("node", "packed"), "node")
+
+    def run(key, pdf):
+        import pandas as pd
+        import zstandard
+
+        unpack, known = zstandard.ZstdDecompressor().decompress, _Words()
+        pdf = pdf.sort_values("node")
+        got = []
+        if pdf["comp"].nunique() > 1:
+            own, node = pdf["own"], pdf["node"].tolist()
+            got = block_links([unpack(bytes(x)) for x in pdf["packed"]], pdf["comp"].tolist(), (own == key[1]).tolist(), (own == key[2]).tolist(), percent, known)
+        return pd.DataFrame([(node[x], node[y]) for x, y in got] if got else [], columns=["a", "b"], dtype="int64")
 
-    return rows.mapInArrow(run, "a long, b long, both long, either long")
+    return rows.groupBy("region", "i", "j").applyInPandas(run, "a long, b long").where("a <> b").distinct()
+
+
+def with_components(level: DataFrame, comps: DataFrame | None) -> DataFrame:
+    if comps is None:
+        return level.withColumn("comp", F.col("node"))
+    return level.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
-def links(nodes: DataFrame, percent: int = PERCENT, pivots: int = PIVOTS, near: float = NEAR) -> tuple[DataFrame | None, DataFrame | None]:
-    """Links that join all sets alike enough into their components, and each linked node's component.
+def with_links(new: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """A component's members and its name are as good as the links that made it."""
+    return new if comps is None else new.unionByName(comps.where("node <> comp").select(F.col("comp").alias("a"), F.col("node").alias("b")))
 
-    ``nodes``: node, n, prefix, packed, one row per distinct set. Not every link is listed: two sets that
-    others have joined already aren't compared. Gives (None, None) where nothing is linked.
+
+def alive_regions(after: DataFrame) -> DataFrame:
+    """Regions that still hold two components and a home, with their size."""
+    alive = after.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("home").alias("homes"), F.count(F.lit(1)).alias("size")).where("lo < hi AND homes").select("region", "size")
+    return after.drop("comp").join(alive, "region")
+
+
+def links(sets: DataFrame, nodes: DataFrame, percent: int = PERCENT, pivots: int = PIVOTS, large_pivots: int = LARGE_PIVOTS, near: float = NEAR) -> DataFrame | None:
+    """(node, comp) of each set that has a link; None where nothing is linked.
+
+    ``sets`` as ``document_sets`` gives them; ``nodes``: (row, node), the node being the first row with the same set.
     """
-    common.ship(nodes.sparkSession)
+    common.ship(sets.sparkSession)
     reach = 1 - percent / 100
-    texts = nodes.select("node", "packed")
-    rows = nodes.select("node", "n", F.explode("prefix").alias("region"))
-    # a shingle that only one set has starts no region; a set with none that another has is linked with nothing
-    from pyspark.sql import Window
-
+    rows = sets.select("row", "n", F.explode("prefix").alias("region"))
+    # A shingle that only one row has starts no region. Sets alike enough are of like size: their bands, a step of 100 /
+    # percent each, are the same or next to each other, so a set goes to its band's region and to the next one's.
     shared = rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("region"))).where("c > 1").drop("c")
-    level = common.materialise(shared.withColumns({"low": F.lit(0.0), "high": F.lit(1.0), "home": F.lit(True)}), "regions")
-    edges = comps = None
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9)
+    shared = shared.withColumn("band", F.explode(F.array(band, band + 1)))
+    # Shingles that the same rows have start one region: its name is made of its members, and where two names met by
+    # chance, their sets would be joined as one region, no link lost.
+    members = Window.partitionBy("region", "band")
+    of = {"c": F.count(F.lit(1)), "lo": F.min("row"), "hi": F.max("row"), "s": F.bit_xor(F.xxhash64("row"))}
+    shared = shared.withColumns({k: v.over(members) for k, v in of.items()}).where("c > 1")
+    shared = materialise(shared.select(F.xxhash64("c", "lo", "hi", "s").alias("region"), "row", "n", F.col("c").alias("size")).distinct(), "shared")
+    common.sweep(sets.sparkSession)
+    level = shared.join(nodes, "row").select("region", "node", "n", "size").distinct()
+    level = materialise(level.withColumns({"low": F.lit(0.0), "high": F.lit(1.0), "home": F.lit(True)}), "regions")
+    # what is compared later is moved once; the first row with a set has its text and is its node
+    near_sets = sets.where("packed IS NOT NULL").select(F.col("row").alias("node"), "n", "sketch", "packed")
+    near_sets = materialise(near_sets.join(level.select("node").distinct().hint("merge"), "node", "left_semi"), "region-sets")
+    common.sweep(sets.sparkSession)
+    # large regions go first: once they have settled large groups, most of these groups' small regions need nothing more
+    waiting, first = level.where(F.col("size") <= LARGE), level.where(F.col("size") > LARGE)
+    level, waiting = (waiting, None) if first.isEmpty() else (first, waiting)
+    comps = None
     number = 0
     while not level.isEmpty():
         number += 1
-        now = level.withColumn("comp", F.col("node"))
-        if comps is not None:
-            now = level.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        now = with_components(level, comps)
         # a few pivots a region, of different components: the least by hash in each salt, summed up before any shuffle
         choice = F.when(F.col("home"), F.struct(F.xxhash64(F.lit(number), "node").alias("order"), "node", "n", "comp", "low", "high"))
-        salted = now.groupBy("region", common.spread("comp", pivots, number).alias("salt")).agg(F.min(choice).alias("pivot"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        chosen = salted.groupBy("region").agg(F.collect_list("pivot").alias("pivots"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where((F.col("lo") < F.col("hi")) & (F.size("pivots") > 0)).select("region", "pivots")
-        tests = now.join(chosen, "region").withColumn("retired", F.exists("pivots", lambda p: p["node"] == F.col("node"))).withColumn("pivot", F.explode("pivots")).drop("pivots")
-        tests = tests.where(F.col("node") != F.col("pivot.node")).select("region", "node", "n", "comp", "low", "high", "retired", F.col("pivot.node").alias("p"), F.col("pivot.n").alias("pn"), F.col("pivot.comp").alias("pcomp"), F.col("pivot.low").alias("plow"), F.col("pivot.high").alias("phigh"))
+        few = F.lit(large_pivots if waiting is not None else pivots)
+        salted = now.groupBy("region", "size", common.spread("comp", few, number).alias("salt")).agg(F.min(choice).alias("pivot"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        chosen = salted.groupBy("region", "size").agg(F.collect_list("pivot").alias("pivots"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where((F.col("lo") < F.col("hi")) & (F.size("pivots") > 0))
+        # a region of many components is split among its pivots; one of few only loses its pivots
+        chosen = chosen.select("region", "pivots", (F.size("pivots") >= few).alias("wide"))
+        if waiting is not None:
+            chosen = chosen.withColumn("wide", F.lit(False))  # what the first pivots leave of large regions is cut into blocks
+        tests = now.drop("size").join(chosen, "region").withColumns({"retired": F.exists("pivots", lambda p: p["node"] == F.col("node")), "first": F.col("pivots")[0]["node"]}).withColumn("pivot", F.explode("pivots")).drop("pivots")
+        tests = tests.select("region", "node", "n", "comp", "low", "high", "retired", "wide", (F.col("first") == F.col("pivot.node")).alias("first"), F.col("pivot.node").alias("p"), F.col("pivot.n").alias("pn"), F.col("pivot.comp").alias("pcomp"), F.col("pivot.low").alias("plow"), F.col("pivot.high").alias("phigh"))
         least = 1 - F.least("n", "pn") / F.greatest("n", "pn")  # no distance is below what the sizes say
         apart = F.greatest(least, F.col("low") - F.col("phigh"), F.col("plow") - F.col("high"))  # nor below what the last pivot says
-        tests = tests.withColumns({"apart": apart, "a": F.least("node", "p"), "b": F.greatest("node", "p")})
-        tests = common.materialise(tests, "tests")
-        pairs = tests.where((F.col("comp") != F.col("pcomp")) & (F.col("apart") <= reach + 1e-9)).select("a", "b").distinct()
-        got = common.materialise(_overlaps(pairs, texts), "overlaps")
-        new = got.where(F.col("both") * 100 >= F.col("either") * percent).select("a", "b")
+        tests = materialise(tests.where("node <> p").withColumns({"apart": apart, "a": F.least("node", "p"), "b": F.greatest("node", "p")}), "tests")
+        pairs = tests.where(((F.col("comp") != F.col("pcomp")) | F.col("wide")) & (F.col("apart") <= reach + 1e-9)).select("a", "b").distinct()
+        got = distances(pairs, near_sets, percent)
+        new = got.where("linked").select("a", "b")
         if not new.isEmpty():
-            edges = new if edges is None else edges.unionByName(new)
-            comps = common.materialise(components(edges), "components")
-        # intervals for each set's distance to each pivot of its region
-        distance = 1 - F.col("both") / F.col("either")
-        spans = tests.join(got, ["a", "b"], "left").where(~F.col("retired"))
-        spans = spans.select("region", "node", "n", "p", F.coalesce(distance, "apart").alias("low"), F.coalesce(distance, F.lit(1.0)).alias("high"))
-        per_set = spans.groupBy("region", "node", "n").agg(F.collect_list(F.struct("high", "p", "low")).alias("spans"))  # at most one for each pivot
+            comps = materialise(components(with_links(new, comps)), "components")
+        # an interval for each set's distance to each pivot of its region
+        spans = tests.where("NOT retired AND (wide OR first)").select("region", "node", "n", "p", "wide", "apart", "a", "b").join(got.drop("linked"), ["a", "b"], "left")
+        spans = spans.select("region", "node", "n", "p", "wide", F.greatest("apart", "low").alias("low"), F.coalesce("high", F.lit(1.0)).alias("high"))
+        narrow = spans.where("NOT wide").select("node", "n", "region", "low", "high", F.lit(True).alias("home"))
+        per_set = spans.where("wide").groupBy("region", "node", "n").agg(F.collect_list(F.struct("high", "p", "low")).alias("spans"))  # at most one for each pivot
         per_set = per_set.withColumn("nearest", F.array_min("spans"))
         per_set = per_set.withColumn("own", F.when(F.col("nearest.high") <= near, F.col("nearest.p")))
         windows = per_set.select("region", "node", "n", "own", F.explode("spans").alias("s")).where((F.col("own") == F.col("s.p")) | (F.col("s.low") <= near + reach + 1e-9))
         windows = windows.select("node", "n", F.xxhash64("region", "s.p", F.lit(number)).alias("region"), F.col("s.low").alias("low"), F.col("s.high").alias("high"), F.coalesce(F.col("own") == F.col("s.p"), F.lit(False)).alias("home"))
         far = per_set.where("own IS NULL").select("node", "n", F.xxhash64("region", F.lit(number)).alias("region"), F.lit(0.0).alias("low"), F.lit(1.0).alias("high"), F.lit(True).alias("home"))
-        after = windows.unionByName(far)
-        # keep regions that still hold two components and a home
-        if comps is not None:
-            after = after.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        else:
-            after = after.withColumn("comp", F.col("node"))
-        after = common.materialise(after, "after")
-        alive = after.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("home").alias("homes")).where("lo < hi AND homes").select("region")
-        level = common.materialise(after.drop("comp").join(alive, "region"), "regions")
-    return edges, comps
+        after = narrow.unionByName(windows).unionByName(far)
+        if waiting is not None:
+            rest = alive_regions(with_components(after, comps))
+            rest = materialise(with_components(rest, comps), "large")
+            if not rest.isEmpty():
+                new = materialise(joined_blocks(rest, near_sets, percent, BLOCK), "block-links")
+                comps = materialise(components(with_links(new, comps)), "components")
+            after, waiting = waiting.drop("size"), None
+        level = materialise(alive_regions(with_components(after, comps)), "regions")
+        common.sweep(sets.sparkSession)
+    return comps
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -237,15 +376,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     sets = document_sets(docs, id_col, text_col, percent)
     filled = sets.where("n > 0")
-    nodes = common.materialise(filled.groupBy("digest").agg(F.min("row").alias("node"), F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")), "nodes")
-    distinct = filled.join(nodes.select(F.col("node").alias("row"), "node"), "row").select("node", "n", "prefix", "packed")
-    _, comps = links(distinct, percent)
+    nodes = materialise(filled.groupBy("digest").agg(F.min("row").alias("node"), F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")), "nodes")
+    comps = links(sets, filled.select("row", "digest").join(nodes.select("digest", "node"), "digest").select("row", "node"), percent)
     if comps is None:
         classes = nodes.select("digest", F.col("least").alias("component_id"), F.col("copies").alias("group_size"))
     else:
-        labelled = common.materialise(nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "labelled")
+        labelled = materialise(nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "labelled")
         per = labelled.groupBy("comp").agg(F.min("least").alias("component_id"), F.sum("copies").alias("group_size"))
-        classes = common.materialise(labelled.select("digest", "comp").join(per, "comp").drop("comp"), "classes")
+        classes = materialise(labelled.select("digest", "comp").join(per, "comp").drop("comp"), "classes")
     classes = classes.withColumnRenamed("digest", "of")
     out = sets.select("id", "n", "digest").join(classes, (F.col("n") > 0) & (F.col("digest") == F.col("of")), "left")
     alone = F.col("of").isNull()
@@ -255,10 +393,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents of which one a group stays: that with the smallest id, and every document linked with nothing.
 
-    Rows without words stay. Of repeated rows with the smallest id, one stays. All columns of ``docs`` are kept.
+    Rows without words stay. Of rows repeated with id and text one stays. All columns of ``docs`` are kept. Texts move
+    once, to meet the keys of the rows that stay; rows are told apart by id and a hash of the text.
     """
-    rows = common.materialise(docs.withColumn("__lm_row", F.monotonically_increasing_id()), "near-rows")
-    both = rows.select(F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), F.col("__lm_row").alias("row")).alias("key"), F.col(text_col).alias("text"))
-    out = jaccard_components(both, "key", "text", percent)
-    kept = out.where(F.col("key") == F.col("component_id")).select(F.col("key.row").alias("__lm_row"))
-    return rows.join(kept, "__lm_row", "left_semi").drop("__lm_row")
+    of = {"__lm_id": F.coalesce(F.col(id_col), F.lit(0)), "__lm_unknown": F.col(id_col).isNull(), "__lm_hash": F.xxhash64(common.text_of(text_col))}
+    rows = docs.withColumns(of)
+    key = F.struct("__lm_unknown", "__lm_id", "__lm_hash")
+    out = jaccard_components(rows.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text", percent)
+    kept = materialise(out.where(F.col("key") == F.col("component_id")).select("key.*").distinct(), "near-kept")
+    return rows.join(kept.hint("merge"), list(of), "left_semi").dropDuplicates(list(of)).select(*docs.columns)

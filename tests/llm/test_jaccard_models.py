@@ -81,7 +81,8 @@ def chained_rows():
 def test_links_of_chains_stars_and_passages(spark, pivots, monkeypatch):
     rows = chained_rows()
     monkeypatch.setattr(jaccard.links, "__defaults__", (80, pivots, 2, 0.4))
-    monkeypatch.setattr(jaccard, "LARGE", 40)
+    monkeypatch.setattr(jaccard, "LARGE", 24)
+    monkeypatch.setattr(jaccard, "BLOCK", 10)
     monkeypatch.setattr(jaccard, "HOT_LEAST", 20)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert joined(jaccard.jaccard_components(df)) == sorted(brute_components(rows), key=key)
@@ -97,6 +98,30 @@ def test_jaccard_join_of_odd_rows(odd, odd_rows, empty):
     assert texts[""] == 3 - 1 and texts[None] == 2 and sum(texts[t] for t in texts if t and "many documents share" in t) == 1
 
 
+def test_blocks_join_what_pairs_would():
+    texts = [t.encode() for _, t in chained_rows() if t and t.split()]
+    n = len(texts)
+    for left, right in (([True] * n, [True] * n), ([i % 2 == 0 for i in range(n)], [i % 2 == 1 for i in range(n)])):
+        got = jaccard.block_links(texts, list(range(n)), left, right, 80, jaccard._Words())
+        parent, want = list(range(n)), list(range(n))
+
+        def find(p, i):
+            while p[i] != i:
+                i = p[i]
+            return i
+
+        for i, j in got:
+            parent[find(parent, i)] = find(parent, j)
+        sets = [shingle_set(t.decode()) for t in texts]
+        for i in range(n):
+            for j in range(n):
+                k = len(sets[i] & sets[j])
+                if i != j and left[i] and right[j] and 100 * k >= 80 * (len(sets[i]) + len(sets[j]) - k):
+                    want[find(want, i)] = find(want, j)
+        same = lambda p: {frozenset(i for i in range(n) if find(p, i) == r) for r in {find(p, i) for i in range(n)}}
+        assert same(parent) == same(want)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from("abcdef"), max_size=40), st.lists(st.sampled_from("abcdef"), max_size=40))
 def test_sets_alike_share_a_prefix_in_any_order(x, y):
