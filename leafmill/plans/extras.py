@@ -50,8 +50,8 @@ def alias_expand(spark, sf):
 @register(
     "label_clusters",
     """
-    WITH a AS (SELECT p_partkey % 50 AS label, concat('t', p_size % 6) AS token, p_partkey AS id, (p_partkey * 37 % 97) / 100.0 AS y, (p_partkey * 53 % 89) / 300.0 AS x FROM part),
-    g AS (SELECT *, CASE WHEN y - lag(y) OVER (PARTITION BY label ORDER BY y, token) > 0.05 THEN 1 ELSE 0 END AS new FROM a),
+    WITH a AS (SELECT p_partkey % 12 AS label, concat('t', p_size % 6) AS token, p_partkey AS id, (p_partkey * p_partkey * 37 % 97) / 100.0 AS y, (p_partkey * 53 % 89) / 900.0 AS x FROM part),
+    g AS (SELECT *, CASE WHEN y - lag(y) OVER (PARTITION BY label ORDER BY y, token) > 0.03 THEN 1 ELSE 0 END AS new FROM a),
     r AS (SELECT *, sum(new) OVER (PARTITION BY label ORDER BY y, token ROWS UNBOUNDED PRECEDING) AS run FROM g),
     c AS (SELECT label, run, count(DISTINCT token) AS tokens, min(y) AS top, max(y) AS bottom FROM r GROUP BY 1, 2 HAVING max(x) - min(x) <= 0.25),
     n AS (SELECT *, row_number() OVER w AS i, lead(tokens) OVER w AS nxt FROM c WINDOW w AS (PARTITION BY label ORDER BY tokens DESC, run))
@@ -61,8 +61,8 @@ def alias_expand(spark, sf):
 def label_clusters(spark, sf):
     """The cluster with most of a label's tokens; none on a tie."""
     k = F.col("p_partkey")
-    rows = table(spark, sf, "part").select((k % 50).alias("label"), F.concat(F.lit("t"), (F.col("p_size") % 6).cast("string")).alias("token"), ((k * 37 % 97) / 100.0).alias("y"), ((k * 53 % 89) / 300.0).alias("x"))
-    return overlays.label_cluster(rows, "label", 0.05, 0.25).select("label", "tokens", F.round("top", 6).alias("top"), F.round("bottom", 6).alias("bottom"))
+    rows = table(spark, sf, "part").select((k % 12).alias("label"), F.concat(F.lit("t"), (F.col("p_size") % 6).cast("string")).alias("token"), ((k * k * 37 % 97) / 100.0).alias("y"), ((k * 53 % 89) / 900.0).alias("x"))
+    return overlays.label_cluster(rows, "label", 0.03, 0.25).select("label", "tokens", F.round("top", 6).alias("top"), F.round("bottom", 6).alias("bottom"))
 
 
 @register(
