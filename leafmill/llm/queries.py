@@ -41,15 +41,23 @@ def op8_exact_dedup(spark, sf_dir):
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-def op9_line_dedup(spark, sf_dir):
-    out = linededup.line_dedup(table(spark, sf_dir, "documents"))
+def _lines(out):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("kept_bytes"))
 
 
+def op9_line_dedup(spark, sf_dir):
+    return _lines(linededup.line_dedup(table(spark, sf_dir, "documents")))
+
+
+def op9_line_dedup_whole(spark, sf_dir):
+    """Short lines and passages of two documents too, which op9_line_dedup's SQL leaves out."""
+    return _lines(linededup.line_dedup(table(spark, sf_dir, "documents"), whole=True))
+
+
 def op10_fingerprints(spark, sf_dir):
     return fingerprint.neighbour_likeness(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_token_counts, op2_jaccard_join, op3_mix_sources, op4_best_fit_packing, op5_url_filters, op6_toxicity, op7_quality, op8_exact_dedup, op9_line_dedup, op10_fingerprints)
+_ALL = (op1_token_counts, op2_jaccard_join, op3_mix_sources, op4_best_fit_packing, op5_url_filters, op6_toxicity, op7_quality, op8_exact_dedup, op9_line_dedup, op9_line_dedup_whole, op10_fingerprints)
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLES = {"op2_jaccard_join": oracles.JACCARD, "op8_exact_dedup": exact.ORACLE, "op9_line_dedup": oracles.LINES}
