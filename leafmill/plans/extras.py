@@ -126,6 +126,15 @@ def invariants(spark, sf):
     return broken.unionByName(lost).groupBy("broken").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _image_listing(customers):
+    k = F.col("c_custkey")
+    line = F.format_string("   1     0 image    %d  1400  gray    1   8  jpeg   no        12  0   300   300 99K 7.1%%", k % 100 + 1000)
+    head = F.lit("page   num  type   width height color comp bpc  enc interp  object ID x-ppi y-ppi size ratio\n------")
+    lines = F.when(k % 4 == 0, F.array(head)).otherwise(F.concat(F.array(head), F.array_repeat(line, (k % 4).cast("int"))))
+    rows = customers.select(k.alias("k"), F.array_join(lines, "\n").alias("listing"))
+    return images.listed_images(rows, "k", "listing")
+
+
 @register(
     "image_listing",
     """
@@ -135,12 +144,19 @@ def invariants(spark, sf):
 )
 def image_listing(spark, sf):
     """Sizes and dpi of pages with one image; a page with several has none."""
-    k = F.col("c_custkey")
-    line = F.format_string("   1     0 image    %d  1400  gray    1   8  jpeg   no        12  0   300   300 99K 7.1%%", k % 100 + 1000)
-    head = F.lit("page   num  type   width height color comp bpc  enc interp  object ID x-ppi y-ppi size ratio\n------")
-    lines = F.when(k % 4 == 0, F.array(head)).otherwise(F.concat(F.array(head), F.array_repeat(line, (k % 4).cast("int"))))
-    rows = table(spark, sf, "customer").where(k % 5 != 0).select(k.alias("k"), F.array_join(lines, "\n").alias("listing"))
-    return images.listed_images(rows, "k", "listing")
+    return _image_listing(table(spark, sf, "customer").where("c_custkey % 5 <> 0"))
+
+
+@register(
+    "image_listing_whole",
+    """
+    WITH c AS (SELECT c_custkey AS k, c_custkey % 4 AS n FROM customer)
+    SELECT k, 1 AS page, CASE WHEN n = 1 THEN CAST(1000 + k % 100 AS INT) ELSE 0 END AS width, CASE WHEN n = 1 THEN 1400 ELSE 0 END AS height, CASE WHEN n = 1 THEN 300.0::DOUBLE ELSE 0.0::DOUBLE END AS dpi FROM c WHERE n > 0
+    """,
+)
+def image_listing_whole(spark, sf):
+    """image_listing over every listing."""
+    return _image_listing(table(spark, sf, "customer"))
 
 
 @register(

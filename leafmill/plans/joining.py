@@ -89,6 +89,14 @@ def fuzzy_labels(spark, sf):
     return joins.fuzzy_labels(labels, specs, "label", "k").select("k", "label", "spec")
 
 
+def _block_edges(spark, sf, lines):
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    keys = lines.groupBy(F.concat(F.lit("k"), "l_orderkey").alias("id")).agg(F.transform(F.sort_array(F.collect_list(line)), lambda x: F.concat(F.lit("w"), x["l_partkey"])).alias("child_ids")).withColumn("kind", F.lit("KEY"))
+    words = table(spark, sf, "part").where("p_partkey % 7 <> 0").select(F.concat(F.lit("w"), "p_partkey").alias("id"), F.lit("WORD").alias("kind"), F.col("p_name").alias("text"))
+    out = scans.block_children(keys.unionByName(words, allowMissingColumns=True), "KEY")
+    return out.select(F.substring("id", 2, 20).cast("long").alias("id"), "joined", "n_children")
+
+
 @register(
     "block_edges",
     """
@@ -99,12 +107,20 @@ def fuzzy_labels(spark, sf):
 )
 def block_edges(spark, sf):
     """A block's text by its child ids in order; ids of no block are skipped."""
-    lines = table(spark, sf, "lineitem").where("l_orderkey % 3 = 0")
-    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    keys = lines.groupBy(F.concat(F.lit("k"), "l_orderkey").alias("id")).agg(F.transform(F.sort_array(F.collect_list(line)), lambda x: F.concat(F.lit("w"), x["l_partkey"])).alias("child_ids")).withColumn("kind", F.lit("KEY"))
-    words = table(spark, sf, "part").where("p_partkey % 7 <> 0").select(F.concat(F.lit("w"), "p_partkey").alias("id"), F.lit("WORD").alias("kind"), F.col("p_name").alias("text"))
-    out = scans.block_children(keys.unionByName(words, allowMissingColumns=True), "KEY")
-    return out.select(F.substring("id", 2, 20).cast("long").alias("id"), "joined", "n_children")
+    return _block_edges(spark, sf, table(spark, sf, "lineitem").where("l_orderkey % 3 = 0"))
+
+
+@register(
+    "block_edges_whole",
+    """
+    WITH l AS (SELECT l_orderkey AS id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS i, l_partkey AS child FROM lineitem),
+    j AS (SELECT l.id, i, p_name FROM l JOIN part ON p_partkey = child AND p_partkey % 7 <> 0)
+    SELECT id, string_agg(p_name, ' ' ORDER BY i) AS joined, count(*) AS n_children FROM j GROUP BY id
+    """,
+)
+def block_edges_whole(spark, sf):
+    """block_edges over every block."""
+    return _block_edges(spark, sf, table(spark, sf, "lineitem"))
 
 
 @register(

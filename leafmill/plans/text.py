@@ -207,6 +207,21 @@ def strict_json_labels(spark, sf):
     return forms.page_labels(rows, "body", "header").select("k", "error", "form_class", "was", "routed")
 
 
+def _report_flatten(spark, sf, orders):
+    orders = orders.select(F.col("o_orderkey").alias("k"), "o_orderstatus", "o_orderpriority")
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("k"), "l_linenumber").agg(F.min("l_partkey").alias("p"))
+    tables = lines.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "p"))).alias("rows"))
+    rows = F.transform("rows", lambda r: F.struct(F.struct(F.lit("present").alias("status"), r["p"].cast("string").alias("value")).alias("key")))
+    # every fifth report has a value in the table's place: such a slot gives no rows
+    part = F.when(F.col("k") % 5 == 0, F.lit('{"status": "present", "value": "x"}')).otherwise(F.coalesce(F.to_json(rows), F.lit("[]")))
+    status = F.when(F.col("o_orderstatus") == "P", "illegible").otherwise("present")
+    blank = F.when(F.col("k") % 3 == 0, "blank").otherwise("present")
+    head = F.to_json(F.struct(F.struct(status.alias("status"), F.col("o_orderstatus").alias("value")).alias("status"), F.struct(blank.alias("status"), F.col("o_orderpriority").alias("value")).alias("priority")))
+    body = F.concat(F.lit('{"document": '), head, F.lit(', "parts": '), part, F.lit(', "stray": 1}'))
+    reports = orders.join(tables, "k", "left").select("k", body.alias("body"))
+    return forms.flatten_report(reports, "k", "body", {"document": ["status", "priority"]}, {"parts": ["key"]}).select("k", "field", "status", "value", "dropped")
+
+
 @register(
     "report_flatten",
     """
@@ -220,18 +235,23 @@ def strict_json_labels(spark, sf):
 )
 def report_flatten(spark, sf):
     """Nested reports as one row per dotted field; absence keeps no text, unknown keys are counted."""
-    orders = table(spark, sf, "orders").where("o_orderkey % 7 <> 0").select(F.col("o_orderkey").alias("k"), "o_orderstatus", "o_orderpriority")
-    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("k"), "l_linenumber").agg(F.min("l_partkey").alias("p"))
-    tables = lines.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "p"))).alias("rows"))
-    rows = F.transform("rows", lambda r: F.struct(F.struct(F.lit("present").alias("status"), r["p"].cast("string").alias("value")).alias("key")))
-    # every fifth report has a value in the table's place: such a slot gives no rows
-    part = F.when(F.col("k") % 5 == 0, F.lit('{"status": "present", "value": "x"}')).otherwise(F.coalesce(F.to_json(rows), F.lit("[]")))
-    status = F.when(F.col("o_orderstatus") == "P", "illegible").otherwise("present")
-    blank = F.when(F.col("k") % 3 == 0, "blank").otherwise("present")
-    head = F.to_json(F.struct(F.struct(status.alias("status"), F.col("o_orderstatus").alias("value")).alias("status"), F.struct(blank.alias("status"), F.col("o_orderpriority").alias("value")).alias("priority")))
-    body = F.concat(F.lit('{"document": '), head, F.lit(', "parts": '), part, F.lit(', "stray": 1}'))
-    reports = orders.join(tables, "k", "left").select("k", body.alias("body"))
-    return forms.flatten_report(reports, "k", "body", {"document": ["status", "priority"]}, {"parts": ["key"]}).select("k", "field", "status", "value", "dropped")
+    return _report_flatten(spark, sf, table(spark, sf, "orders").where("o_orderkey % 7 <> 0"))
+
+
+@register(
+    "report_flatten_whole",
+    """
+    WITH r AS (SELECT o_orderkey AS k, o_totalprice, o_orderpriority, o_orderstatus FROM orders),
+         l AS (SELECT l_orderkey AS k, CAST(l_linenumber AS INT) AS i, min(l_partkey) AS part FROM lineitem GROUP BY 1, 2),
+         t AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY i) - 1 AS i, part FROM l)
+    SELECT k, 'document.status' AS field, CASE WHEN o_orderstatus = 'P' THEN 'illegible' ELSE 'present' END AS status, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS value, 1 AS dropped FROM r
+    UNION ALL SELECT k, 'document.priority', CASE WHEN k % 3 = 0 THEN 'blank' ELSE 'present' END, CASE WHEN k % 3 <> 0 THEN o_orderpriority END, 1 FROM r
+    UNION ALL SELECT k, concat('parts[', i, '].key'), 'present', CAST(part AS VARCHAR), 1 FROM t WHERE k IN (SELECT k FROM r) AND k % 5 <> 0
+    """,
+)
+def report_flatten_whole(spark, sf):
+    """report_flatten over every report."""
+    return _report_flatten(spark, sf, table(spark, sf, "orders"))
 
 
 @register(
