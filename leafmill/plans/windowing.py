@@ -134,10 +134,33 @@ def radius_neighbours(spark, sf):
 _PAIRS = "SELECT a.vec_id, list_transform(a.embedding, lambda x: CAST(x AS DOUBLE)) AS u, list_transform(b.embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 5 = 0"
 
 
-def _pairs(spark, sf):
+_ALL_PAIRS = "SELECT a.vec_id, list_transform(a.embedding, lambda x: CAST(x AS DOUBLE)) AS u, list_transform(b.embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"
+
+
+def _all_pairs(spark, sf):
     rows = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("u"))
     nxt = rows.select((F.col("vec_id") - 1).alias("vec_id"), F.col("u").alias("v"))
-    return rows.where("vec_id % 5 = 0").join(nxt, "vec_id")
+    return rows.join(nxt, "vec_id")
+
+
+def _pairs(spark, sf):
+    return _all_pairs(spark, sf).where("vec_id % 5 = 0")
+
+
+def _best_shift(pairs):
+    from ..operators.stats import correlation
+
+    shifts = F.array_max(F.array(*(correlation(F.col("u"), W.rotated(F.col("v"), k)) for k in range(-3, 4))))
+    return pairs.select("vec_id", F.round(shifts, 6).alias("best"))
+
+
+def _best_transform(pairs):
+    from ..operators.stats import correlation
+
+    names = ("same", "turned", "mirrored", "turned_mirrored")
+    scores = [F.struct(F.round(correlation(F.col("u"), W.oriented(F.col("v"), n)), 6).alias("s"), F.lit(-i).alias("o"), F.lit(n).alias("n")) for i, n in enumerate(names)]
+    best = pairs.select("vec_id", F.array_max(F.array(*scores)).alias("b"))
+    return best.select("vec_id", F.col("b.n").alias("transform"), F.col("b.s").alias("score"), (F.col("b.s") >= 0.3).alias("clears"))
 
 
 @register(
@@ -150,10 +173,20 @@ def _pairs(spark, sf):
 )
 def shift_correlation(spark, sf):
     """The best correlation over bounded shifts."""
-    from ..operators.stats import correlation
+    return _best_shift(_pairs(spark, sf))
 
-    shifts = F.array_max(F.array(*(correlation(F.col("u"), W.rotated(F.col("v"), k)) for k in range(-3, 4))))
-    return _pairs(spark, sf).select("vec_id", F.round(shifts, 6).alias("best"))
+
+@register(
+    "shift_correlation_whole",
+    f"""
+    WITH p AS ({_ALL_PAIRS}), s AS (SELECT vec_id, u, list_concat(v[len(v) - pmod + 1:len(v)], v[1:len(v) - pmod]) AS v, k FROM (SELECT *, (k + len(v)) % len(v) AS pmod FROM p, unnest([-3, -2, -1, 0, 1, 2, 3]) AS t(k))),
+    c AS (SELECT vec_id, k, corr(a, b) AS c FROM (SELECT vec_id, k, unnest(u) AS a, unnest(v) AS b FROM s) GROUP BY ALL)
+    SELECT vec_id, round(max(c), 6) AS best FROM c GROUP BY vec_id
+    """,
+)
+def shift_correlation_whole(spark, sf):
+    """shift_correlation over every pair."""
+    return _best_shift(_all_pairs(spark, sf))
 
 
 @register(
@@ -168,12 +201,22 @@ def shift_correlation(spark, sf):
 )
 def best_transform(spark, sf):
     """The best of four transforms, the first on a tie, and whether it clears the threshold."""
-    from ..operators.stats import correlation
+    return _best_transform(_pairs(spark, sf))
 
-    names = ("same", "turned", "mirrored", "turned_mirrored")
-    scores = [F.struct(F.round(correlation(F.col("u"), W.oriented(F.col("v"), n)), 6).alias("s"), F.lit(-i).alias("o"), F.lit(n).alias("n")) for i, n in enumerate(names)]
-    best = _pairs(spark, sf).select("vec_id", F.array_max(F.array(*scores)).alias("b"))
-    return best.select("vec_id", F.col("b.n").alias("transform"), F.col("b.s").alias("score"), (F.col("b.s") >= 0.3).alias("clears"))
+
+@register(
+    "best_transform_whole",
+    f"""
+    WITH p AS ({_ALL_PAIRS}), h AS (SELECT vec_id, u, v, list_concat(v[len(v) // 2 + 1:len(v)], v[1:len(v) // 2]) AS w FROM p),
+    t AS (SELECT vec_id, u, 0 AS o, v AS x FROM h UNION ALL SELECT vec_id, u, 1, w FROM h UNION ALL SELECT vec_id, u, 2, list_reverse(v) FROM h UNION ALL SELECT vec_id, u, 3, list_reverse(w) FROM h),
+    c AS (SELECT vec_id, o, round(corr(a, b), 6) AS c FROM (SELECT vec_id, o, unnest(u) AS a, unnest(x) AS b FROM t) GROUP BY ALL)
+    SELECT vec_id, CASE o WHEN 0 THEN 'same' WHEN 1 THEN 'turned' WHEN 2 THEN 'mirrored' ELSE 'turned_mirrored' END AS transform, c AS score, c >= 0.3 AS clears
+    FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY c DESC, o) AS n FROM c) WHERE n = 1
+    """,
+)
+def best_transform_whole(spark, sf):
+    """best_transform over every pair."""
+    return _best_transform(_all_pairs(spark, sf))
 
 
 @register(

@@ -28,3 +28,9 @@ def test_report_flatten_of_every_report(spark):
 def test_image_listing_of_every_listing(spark):
     keys = {r.k for r in catalogue.QUERIES["image_listing_whole"](spark, SF).collect()}
     assert keys == {k for k, in column("customer", "c_custkey") if k % 4}
+
+
+def test_every_vector_is_compared_with_its_successor(spark):
+    ids = {k for k, in column("embeddings", "vec_id")}
+    for name in ("shift_correlation_whole", "best_transform_whole"):
+        assert {r.vec_id for r in catalogue.QUERIES[name](spark, SF).select("vec_id").collect()} == {k for k in ids if k + 1 in ids}, name
