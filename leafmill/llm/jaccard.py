@@ -7,6 +7,9 @@ region, or to the far region if none is near; by the triangle inequality, whatev
 region's set lies within a window around its pivot, so sets in that window are copied into the region. Regions
 are then joined in the same way, until none holds sets of two components. Sets that links have already joined
 aren't compared again: a group of near copies costs one comparison each, not one a pair.
+
+With the parameters below this dealing is rare: a region of more than LARGE sets meets LARGE_PIVOTS pivots once and is then
+joined by blocks, each two of which are compared; a smaller one is split only if all PIVOTS salts hold a pivot.
 """
 
 from __future__ import annotations
