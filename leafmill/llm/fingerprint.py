@@ -10,13 +10,16 @@ have in common, less what chance would give, against what they could have in com
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import common
 
@@ -30,6 +33,8 @@ _G = np.array([0] + [round(c * np.log2(c) * _UNIT) for c in range(1, WINDOW + 1)
 _STEP = np.diff(_G)
 _ODD = (np.random.default_rng(64).integers(0, 2**63, 8).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 _BLOCK = 1 << 16
+#: Ids drawn, by hash, for each boundary between ranges, on average.
+SAMPLE = 16
 
 
 def _near_counts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,26 +66,33 @@ def window_entropies(x: np.ndarray) -> np.ndarray:
     return (top - total) * LEVELS // top
 
 
-def block_levels(x: np.ndarray) -> np.ndarray:
-    """Entropy levels of the windows at every 64th byte."""
-    n = len(x) // WINDOW
-    counts = np.bincount((np.arange(n * WINDOW) // WINDOW << 8) | x[: n * WINDOW], minlength=n << 8).reshape(n, 256)
-    top = 6 * WINDOW * _UNIT
-    return (top - _G[counts].sum(axis=1)) * LEVELS // top
+def text_levels(texts: list[bytes]) -> tuple[np.ndarray, list[slice]]:
+    """The levels of all windows of the texts laid end to end, and which of them lie within each text."""
+    levels, parts, at = window_entropies(np.frombuffer(b"".join(texts), np.uint8)), [], 0
+    for text in texts:
+        parts.append(slice(at, max(at, at + len(text) - WINDOW + 1)))
+        at += len(text)
+    return levels, parts
+
 
+def entropy_ranks(docs: DataFrame, text_col: str = "text") -> tuple[list[int], int, int]:
+    """The rank of each entropy level over every window of every whole text, rarest first; the bytes and the number of texts.
 
-def entropy_ranks(docs: DataFrame, text_col: str = "text") -> tuple[list[int], int]:
-    """The rank of each entropy level over all whole texts, rarest first, and the bytes of all texts."""
+    Whole numbers of windows are summed up, so the ranks depend on the texts alone, not on how the table lies in files.
+    """
     common.arrow_limits(docs.sparkSession)
 
     def run(batches):
-        seen, size = np.zeros(LEVELS + 1, np.int64), 0
+        seen, size, rows = np.zeros(LEVELS + 1, np.int64), 0, 0
         for batch in batches:
-            whole = b"".join(batch.column(0).to_pylist())
-            size += len(whole)
-            for at in range(0, len(whole), 64 * _BLOCK):
-                seen += np.bincount(block_levels(np.frombuffer(whole[at : at + 64 * _BLOCK], np.uint8)), minlength=LEVELS + 1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(LEVELS + 1), -1)), pa.array(np.append(seen, size))], names=["level", "n"])
+            texts = batch.column(0).to_pylist()
+            size, rows = size + sum(map(len, texts)), rows + len(texts)
+            levels, parts = text_levels(texts)
+            inside = np.zeros(len(levels), bool)
+            for part in parts:
+                inside[part] = True
+            seen += np.bincount(levels[inside], minlength=LEVELS + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(LEVELS + 1), [-1, -2])), pa.array(np.append(seen, [size, rows]))], names=["level", "n"])
 
     got = docs.select(common.text_of(text_col).cast("binary")).mapInArrow(run, "level long, n long").groupBy("level").agg(F.sum("n").alias("n")).collect()
     counts = {r.level: r.n for r in got}
@@ -89,7 +101,7 @@ def entropy_ranks(docs: DataFrame, text_col: str = "text") -> tuple[list[int], i
     ranks = [0] * (LEVELS + 1)
     for rank, level in enumerate(order):
         ranks[level] = rank
-    return ranks, counts.get(-1, 0)
+    return ranks, counts.get(-1, 0), counts.get(-2, 0)
 
 
 def _features(x: np.ndarray, ranks: np.ndarray) -> np.ndarray:
@@ -136,13 +148,8 @@ def _chain(x: np.ndarray, levels: np.ndarray, ranks: np.ndarray) -> np.ndarray:
 
 def chains(texts: list[bytes], ranks: np.ndarray) -> list[np.ndarray]:
     """The chain of each text; entropies are found over all of them at once."""
-    whole = np.frombuffer(b"".join(texts), np.uint8)
-    levels, out, at = window_entropies(whole), [], 0
-    for text in texts:
-        end = at + len(text)
-        out.append(_chain(whole[at:end], levels[at : max(at, end - WINDOW + 1)], ranks))
-        at = end
-    return out
+    levels, parts = text_levels(texts)
+    return [_chain(np.frombuffer(text, np.uint8), levels[part], ranks) for text, part in zip(texts, parts, strict=True)]
 
 
 def write(chain: np.ndarray) -> str:
@@ -184,35 +191,40 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(id_col, common.text_of(text_col).cast("binary")).mapInArrow(run, schema)
 
 
-def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_mb: int = 24) -> DataFrame:
+def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_mb: float = 24) -> DataFrame:
     """One row per row of ``docs``: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The next document is that with the next larger id, after the last one the first; a null id comes after all others,
-    equal ids are ordered by a hash of their text, and repeated rows follow one another. A single
-    document is its own next one; a null text counts as empty. Whole texts move once, compressed, into ranges of
-    ids of about ``part_mb``; the first document of each range also goes to the range before it, so no task sees more
-    than its range. The driver gets a boundary and a first id for each range, never one for each document.
+    equal ids are ordered by a hash of their text, and repeated rows follow one another. Ids may be of any type that
+    has an order. A single document is its own next one; a null text counts as empty; other columns aren't read, and an
+    empty table gives no rows. Whole texts move once, compressed, into ranges of
+    (id, hash) of about ``part_mb``, rows that repeat within a batch as one with their number; the first document of each
+    range also goes to the range before it, so no task sees more than its range. The driver gets a boundary and a
+    first id for each range and SAMPLE ids a range to find them, never one for each document.
     """
     import zstandard
 
     spark = docs.sparkSession
-    ranks, size = entropy_ranks(docs, text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), common.text_of(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
-    parts = max(1, min(50_000, size // (part_mb << 20) + 1))
-    cuts = [k / parts for k in range(1, parts)]
-    bounds = sorted(set(rows.agg(F.percentile_approx("id", F.array(*map(F.lit, cuts)), F.lit(max(10_000, 20 * parts))).alias("b")).first()["b"] or [])) if cuts else []
-    kinds = "part int, halo boolean, unknown boolean, id long, h long"
+    ranks, size, n_rows = entropy_ranks(docs, text_col)
+    rows = docs.select(F.col(id_col).alias("id"), common.text_of(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
+    parts = max(1, min(50_000, int(size / (part_mb * 2**20)) + 1))
+    bounds: list[tuple] = []
+    if parts > 1:
+        share = min(1.0, SAMPLE * parts / n_rows)
+        drawn = rows.where(common.spread(F.struct("id", "h"), 1 << 30, 10) < int(share * 2**30)).select(F.col("id").isNull().alias("unknown"), "id", "h").distinct()
+        keys = sorted((r.unknown, not r.unknown and r.id, r.h) for r in drawn.collect())
+        bounds = sorted({keys[k * len(keys) // parts] for k in range(1, parts)}) if keys else []
+    kinds = f"part int, halo boolean, unknown boolean, id {docs.schema[id_col].dataType.simpleString()}, h long"
 
     def ranges(batches):
-        edge = np.array(bounds, np.int64)
         for batch in batches:
-            ids = batch.column(0)
-            part = np.where(ids.is_null(), len(edge), np.searchsorted(edge, ids.fill_null(0).to_numpy(zero_copy_only=False), side="right")).astype(np.int32)
-            yield batch, part, pa.array(np.zeros(len(part), bool)), ids.is_null()
+            ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            part = [bisect.bisect_right(bounds, (i is None, i is not None and i, h)) for i, h in zip(ids, hashes, strict=True)]
+            yield batch, pa.array(part, pa.int32()), pa.array(np.zeros(len(part), bool)), batch.column(0).is_null()
 
     def places(batches):
         for batch, part, no, unknown in ranges(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(part), no, unknown, batch.column(0), batch.column(1)], names=["part", "halo", "unknown", "id", "h"])
+            yield pa.RecordBatch.from_arrays([part, no, unknown, batch.column(0), batch.column(1)], names=["part", "halo", "unknown", "id", "h"])
 
     firsts = rows.select("id", "h").mapInArrow(places, kinds).groupBy("part").agg(F.min(F.struct("unknown", "id", "h")).alias("first")).orderBy("part").collect()
     goes: dict[tuple, list[int]] = {}
@@ -221,23 +233,28 @@ def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def deal(batches):
         pack = zstandard.ZstdCompressor(level=3).compress
+        names = ["part", "halo", "unknown", "id", "h", "packed", "times"]
         for batch, part, no, unknown in ranges(batches):
-            texts = [pack(x) for x in batch.column(2).to_pylist()]
-            own = [pa.array(part), no, unknown, batch.column(0), batch.column(1), pa.array(texts, pa.binary())]
-            names = ["part", "halo", "unknown", "id", "h", "packed"]
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            times = Counter(keys)
+            once = {k: n for n, k in enumerate(keys)}
+            at = pa.array(sorted(once.values()), pa.int64())
+            texts = [pack(x) for x in batch.column(2).take(at).to_pylist()]
+            own = [*(c.take(at) for c in (part, no, unknown, batch.column(0), batch.column(1))), pa.array(texts, pa.binary()), pa.array([times[keys[n]] for n in at.to_pylist()], pa.int64())]
             yield pa.RecordBatch.from_arrays(own, names=names)
-            more = [(p, n) for n, k in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)) if k in goes for p in goes[k]]
+            more = [(p, n) for n, k in enumerate(keys[n] for n in at.to_pylist()) if k in goes for p in goes[k]]
             if more:
-                at = pa.array([n for _, n in more], pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in more], pa.int32()), pa.array([True] * len(more)), *(c.take(at) for c in own[2:])], names=names)
+                copies = pa.array([n for _, n in more], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in more], pa.int32()), pa.array([True] * len(more)), *(c.take(copies) for c in own[2:])], names=names)
 
     def compare(batches):
-        rank, unpack = np.array(ranks, np.int64), zstandard.ZstdDecompressor().decompress
+        rank, unpack, kind = np.array(ranks, np.int64), zstandard.ZstdDecompressor().decompress, to_arrow_type(id_type)
 
         def documents():
             for batch in batches:
-                for part, halo, i, packed in zip(*(batch.column(n).to_pylist() for n in (0, 1, 3, 5)), strict=True):
-                    yield part, halo, i, packed
+                for part, halo, i, packed, times in zip(*(batch.column(n).to_pylist() for n in (0, 1, 3, 5, 6)), strict=True):
+                    for _ in range(1 if halo else times):
+                        yield part, halo, i, packed
 
         def groups():
             """Runs of documents that follow one another, the last one only as the next of the one before."""
@@ -267,7 +284,7 @@ def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             own, new = got[: len(texts)], got[len(texts) :]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([i for _, i, _ in held[:-1]], pa.int64()),
+                    pa.array([i for _, i, _ in held[:-1]], kind),
                     pa.array([len(t) for t in texts[:-1]], pa.int64()),
                     pa.array([hashlib.sha256(e).hexdigest() for e in edited]),
                     pa.array([write(c) for c in own[:-1]]),
@@ -279,7 +296,8 @@ def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             )
 
     common.arrow_limits(spark)
-    dealt = rows.select("id", "h", F.col("text").cast("binary")).mapInArrow(deal, kinds + ", packed binary")
+    id_type = docs.schema[id_col].dataType
+    dealt = rows.select("id", "h", F.col("text").cast("binary")).mapInArrow(deal, kinds + ", packed binary, times long")
     dealt = dealt.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "halo", "unknown", "id", "h")
-    out = dealt.mapInArrow(compare, "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    out = dealt.mapInArrow(compare, f"id {id_type.simpleString()}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
     return out.withColumnRenamed("id", id_col)
