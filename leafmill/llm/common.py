@@ -19,6 +19,7 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 _written: list[str] = []
+_own: dict[str, str] = {}
 _shipped: set[str] = set()
 
 
@@ -27,13 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``. Where it is unset, a temporary one if all runs in this process, else an error."""
     found = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="leafmill-")
-        atexit.register(shutil.rmtree, found[7:], True)
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    if found:
+        return found.rstrip("/")
+    master, run = spark.sparkContext.master, spark.sparkContext.applicationId
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if run not in _own:
+        _own[run] = tempfile.mkdtemp(prefix="leafmill-")
+        atexit.register(shutil.rmtree, _own[run], True)
+    return "file://" + _own[run]
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -42,7 +47,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/leafmill/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._leafmill_path = path
+    return out
 
 
 def delete(spark: SparkSession, place: str) -> None:
@@ -50,10 +57,26 @@ def delete(spark: SparkSession, place: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables that ``materialise`` wrote. Results not yet stored elsewhere are lost."""
-    while _written:
-        delete(spark, _written.pop())
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables of ``materialise`` that no later step reads; what wasn't made by it is left alone."""
+    for df in tables:
+        path = getattr(df, "_leafmill_path", None)
+        if path in _written:
+            _written.remove(path)
+            delete(df.sparkSession, path)
+
+
+def tables(since: int = 0) -> list[str]:
+    """The folders of the tables that ``materialise`` holds, from the ``since``-th on."""
+    return _written[since:]
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables of ``materialise``. Results that read them and aren't stored yet are lost."""
+    for path in paths:
+        if path in _written:
+            _written.remove(path)
+            delete(spark, path)
 
 
 def sweep(spark: SparkSession) -> None:
@@ -88,6 +111,13 @@ def text_of(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def free(name: str, taken: list[str]) -> str:
+    """``name``, with as many underscores after it as no other column needs."""
+    while name in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(column: Column) -> Column:
     """Lower-case A-Z only. Where no byte lies outside ASCII, the cheaper ``lower`` gives the same."""
     return F.when(F.octet_length(column) == F.char_length(column), F.lower(column)).otherwise(F.translate(column, ASCII_UPPER, ASCII_LOWER))

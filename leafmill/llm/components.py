@@ -21,11 +21,13 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.union(now.select("b", "a")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
-        large = common.materialise(large.where("a < b").distinct(), "star")
+        old, large = now, common.materialise(large.where("a < b").distinct(), "star")
+        common.discard(old)
         # every edge now points from a smaller a to a larger b
         first = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(first, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y")).where("x < y")
         now = common.materialise(small.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "star")
+        common.discard(large)
         before, mark = mark, now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first()
         if mark == before:  # a round that changes nothing is the last
             break

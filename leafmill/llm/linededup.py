@@ -73,8 +73,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (id, text): rows repeated in full count as one document and are treated alike; a null text has no lines
     to drop and stays null; a null id sorts last. Of a recurring template the occurrence in the smallest id
     stays, so no passage is lost altogether. A document of which nothing would be left is a copy, not one that hosts
-    boilerplate: it stays whole, for deduplication of documents to judge. A column of the table that is called like one made here is kept,
-    and the new one replaces it only for n_lines and n_dropped. ``lines`` of one document is bounded by its text.
+    boilerplate: it stays whole, for deduplication of documents to judge. Columns of the table are kept as they are; the two new ones come last, with
+    underscores after a name that the table has already. ``lines`` of one document is bounded by its text.
     """
     drops = repeated_lines(docs, id_col, text_col, min_docs, **tree)
     drops = common.materialise(drops.select(F.col("id").alias("__lm_id"), F.col("text_hash").alias("__lm_hash"), F.col("lines").alias("__lm_lines")), "line-drops")
@@ -83,5 +83,15 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = F.split(F.col(text_col), "\n", -1)
     out = out.withColumn("__lm_kept", F.when(F.col("__lm_lines").isNotNull(), F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__lm_lines", i)), "\n")))
     cut = F.coalesce(F.col("__lm_kept").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    out = out.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long")).withColumn("n_dropped", F.when(cut, F.size("__lm_lines")).otherwise(F.lit(0)).cast("long"))
-    return out.withColumn(text_col, F.when(cut, F.col("__lm_kept")).otherwise(F.col(text_col))).drop("__lm_id", "__lm_hash", "__lm_lines", "__lm_kept")
+    n_lines, n_dropped = common.free("n_lines", docs.columns), common.free("n_dropped", docs.columns)
+    out = out.withColumn(n_lines, F.coalesce(F.size(lines), F.lit(0)).cast("long")).withColumn(n_dropped, F.when(cut, F.size("__lm_lines")).otherwise(F.lit(0)).cast("long"))
+    return out.withColumn(text_col, F.when(cut, F.col("__lm_kept")).otherwise(F.col(text_col))).select(*docs.columns, n_lines, n_dropped)
+
+
+def without_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", **how) -> DataFrame:
+    """``line_dedup`` with the columns of ``docs`` alone; the length, if there is such a column, follows the text where it changed."""
+    out = line_dedup(docs, id_col, text_col, **how)
+    changed = F.col(out.columns[-1]) > 0
+    if length_col in docs.columns:
+        out = out.withColumn(length_col, F.when(changed, F.length(text_col).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col)))
+    return out.select(*docs.columns)

@@ -145,7 +145,8 @@ def pack(pieces: DataFrame, capacity: int = 2048, key_cols: tuple[str, ...] = ("
     """Adds sequence_id and offset to pieces with a ``length`` of 1 to ``capacity``.
 
     Equal pieces and repeated rows are packed as rows of their own. Full pieces fill a sequence alone and aren't
-    shuffled. Other pieces are dealt by a hash of their key into chunks of about ``chunk``; only numbers move.
+    shuffled. Other pieces are dealt by a hash of their place in the
+    stored table into chunks of about ``chunk``, so neither a repeated row nor a null id is a hot key; only numbers move.
     Each round's table lies in the shared folder, so a lost executor costs one round at most.
     """
     common.ship(pieces.sparkSession)
@@ -178,7 +179,8 @@ def pack(pieces: DataFrame, capacity: int = 2048, key_cols: tuple[str, ...] = ("
             break
         parts = -(-left // chunk)
         last = number == rounds or parts == 1 or (before is not None and left >= before)
-        dealt = level.withColumn("chunk", common.spread(F.struct(*key_cols), parts, number))
+        # level is a stored table, so a row's number is the same when a task runs again; equal rows are spread by it
+        dealt = level.withColumn("chunk", common.spread(F.monotonically_increasing_id(), parts, number))
         level = common.materialise(dealt.groupBy("chunk").applyInPandas(settle(number, last), schema), "pack")
         out = out.unionByName(level.where(~F.col("open")).drop("open"))
         level = level.where("open").drop("open", "sequence_id", "offset")

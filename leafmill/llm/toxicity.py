@@ -235,7 +235,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.5, keep: bool = False) -> DataFrame:
-    """One row per row of ``docs``: id, held_out, score, predicted; with ``keep`` all columns of ``docs`` and score, predicted.
+    """One row per row of ``docs``: id, held_out, score, predicted; with ``keep`` all columns of ``docs`` as they are, then score and
+    predicted, with underscores after a name that ``docs`` has already.
 
     A null text is scored as an empty one; a null id is held out; repeated rows get the same score. Labels that are null
     or neither 0 nor 1 teach nothing; of several labels of a document the largest holds. Without labels of both
@@ -255,5 +256,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     out = docs.select(*columns, common.text_of(docs[text_col]).alias("__lm_text")).mapInArrow(run, schema)
     predicted = (F.col("__lm_score") >= threshold).cast("int")
     if keep:
-        return out.withColumn("score", F.col("__lm_score")).withColumn("predicted", predicted).drop("__lm_score")
+        score = common.free("score", docs.columns)
+        return out.select(*docs.columns, F.col("__lm_score").alias(score), predicted.alias(common.free("predicted", docs.columns)))
     return out.select(id_col, common.held_out(id_col).alias("held_out"), F.col("__lm_score").alias("score"), predicted.alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` that aren't predicted toxic, with its columns; ``how`` as for ``toxicity_scores``."""
+    scored = toxicity_scores(docs, labels, keep=True, **how)
+    return scored.where(F.col(scored.columns[-1]) == 0).select(*docs.columns)
