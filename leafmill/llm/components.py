@@ -16,7 +16,6 @@ def components(edges: DataFrame) -> DataFrame:
     neighbours are never gathered: its least neighbour is an aggregate, joined back to its edges.
     """
     now = common.materialise(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "star")
-    mark = None
     while True:
         both = now.union(now.select("b", "a")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -28,7 +27,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(first, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y")).where("x < y")
         now = common.materialise(small.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "star")
         common.discard(large)
-        before, mark = mark, now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first()
-        if mark == before:  # a round that changes nothing is the last
+        # done when only stars are left: no node has two smaller neighbours, or a smaller and a larger one
+        ends = now.select(F.col("a").alias("node"), F.lit(0).alias("below")).unionByName(now.select(F.col("b").alias("node"), F.lit(1).alias("below")))
+        if ends.groupBy("node").agg(F.sum("below").alias("n"), F.min("below").alias("least")).where("n > 1 OR n = 1 AND least = 0").isEmpty():
             break
     return now.select(F.col("b").alias("node"), F.col("a").alias("comp")).unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct())

@@ -1,15 +1,14 @@
 """Operator 2: exact Jaccard join of shingle sets in their metric space.
 
 Jaccard distance is a metric. Two sets within ``reach`` of each other share one of their first
-shingles in an order of all shingles, the common ones last; each such shingle is a first region. In a region a few
-sets become pivots and are compared with the whole region. Every other set belongs to its nearest pivot's Voronoi
-region, or to the far region if none is near; by the triangle inequality, whatever lies within reach of a
-region's set lies within a window around its pivot, so sets in that window are copied into the region. Regions
-are then joined in the same way, until none holds sets of two components. Sets that links have already joined
-aren't compared again: a group of near copies costs one comparison each, not one a pair.
-
-With the parameters below this dealing is rare: a region of more than LARGE sets meets LARGE_PIVOTS pivots once and is then
-joined by blocks, each two of which are compared; a smaller one is split only if all PIVOTS salts hold a pivot.
+shingles in an order of all shingles, the common ones last; each such shingle is a first region. How far back in a set
+the shingle stands bounds the size of a partner, so most sets are in a region for a few partners only. In the first
+round a few sets of each region become pivots, which settles groups of near copies: sets that links have joined aren't
+compared again. A region that is then too large for one task is split by more pivots: a set belongs to its nearest
+pivot's Voronoi region, or to the far part if none is near; by the triangle inequality, whatever lies within reach of a
+region's set lies within a window around its pivot, so sets in that window are copied into the region, and two home sets
+meet in one region only. Regions are split in the same way until what is at home in them fits a task, where
+it is joined in memory with the copies, or until a split no longer halves them: then blocks of them meet.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -27,9 +26,9 @@ from .common import materialise
 from .components import components
 
 SHINGLE, PERCENT, NEAR = 5, 80, 0.4
-#: Pivots of a region; at first fewer in one of more than LARGE sets, as the first pivots settle a large group of near
-#: copies. Pivots are of different components, so what is settled takes few of them later on.
-PIVOTS, LARGE_PIVOTS, LARGE, BLOCK = 48, 4, 96, 400
+#: Pivots of each region in the first round, which settles groups of near copies; the least number of pivots that split
+#: a region; sets and shingles that are at home in a region which is joined in memory.
+FIRST, PIVOTS, CELL, WEIGHT = 2, 8, 512, 2_000_000
 #: Shingles put last in the order: the HOT most common ones of those met HOT_LEAST times; any order gives the same links.
 HOT, HOT_LEAST = 500_000, 6
 _CHUNK = 2_000_000
@@ -37,14 +36,17 @@ _ODD = (np.random.default_rng(5).integers(0, 2**63, 64).astype(np.uint64) << np.
 
 
 class _Words(dict):
-    """Word hashes, remembered up to a bound."""
+    """Word hashes, remembered up to a bound of entries and of bytes."""
 
     def __missing__(self, word):
         import xxhash
 
+        got = xxhash.xxh3_64_intdigest(word)
+        if len(word) > 64:
+            return got  # long ones are rare and would fill the memory
         if len(self) > 800_000:
             self.clear()
-        got = self[word] = xxhash.xxh3_64_intdigest(word)
+        self[word] = got
         return got
 
 
@@ -169,23 +171,26 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, percent: int = PE
     return materialise(sets.withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
 
 
+def _both(pairs: DataFrame, sets: DataFrame, what: str) -> DataFrame:
+    """(a, b, upto, na, nb, x, y): each pair with ``what`` of its two sets. The sets are joined once, not once a side."""
+    ends = pairs.select("a", "b", "upto", F.explode(F.array("a", "b")).alias("node")).join(sets.select("node", "n", F.col(what).alias("x")), "node")
+    first = lambda c, end: F.first(F.when(F.col("node") == F.col(end), F.col(c)), True)
+    return ends.groupBy("a", "b").agg(F.first("upto").alias("upto"), first("n", "a").alias("na"), first("n", "b").alias("nb"), first("x", "a").alias("x"), first("x", "b").alias("y")).select("a", "b", "upto", "na", "nb", "x", "y")
+
+
 def _bounds(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, na, nb, most) for each pair of nodes, from their sketches."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-    rows = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
+    """(a, b, upto, na, nb, most) for each pair of nodes (a, b, upto), from their sketches."""
 
     def run(batches):
         for batch in batches:
-            _, _, na, nb, sa, sb = (c.to_pylist() for c in batch.columns)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(list(map(most_shared, sa, sb, na, nb)), pa.int64())], names=["a", "b", "na", "nb", "most"])
+            na, nb, x, y = (c.to_pylist() for c in batch.columns[3:])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(list(map(most_shared, x, y, na, nb)), pa.int64())], names=["a", "b", "upto", "na", "nb", "most"])
 
-    return rows.mapInArrow(run, "a long, b long, na long, nb long, most long")
+    return _both(pairs, sets, "sketch").mapInArrow(run, "a long, b long, upto double, na long, nb long, most long")
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, both): the exact size of the intersection for each pair of nodes."""
-    texts = sets.select("node", "packed")
-    rows = pairs.select("a", "b").join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
 
     def run(batches):
         import zstandard
@@ -203,22 +208,25 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             return got
 
         for batch in batches:
-            a, b, ta, tb = (c.to_pylist() for c in batch.columns)
+            a, b, ta, tb = (batch.column(k).to_pylist() for k in (0, 1, 5, 6))
             both = [len(np.intersect1d(set_of(b[i], tb[i]), set_of(a[i], ta[i]), assume_unique=True)) for i in range(len(a))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64())], names=["a", "b", "both"])
 
-    return rows.mapInArrow(run, "a long, b long, both long")
+    return _both(pairs, sets, "packed").mapInArrow(run, "a long, b long, both long")
 
 
 def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, low, high, linked): exact where the sketches leave a link open, else what they say of the distance."""
+    """(a, b, low, high, linked) of pairs (a, b, upto): exact where the sketches leave open that the distance is at most ``upto``."""
     bounds = materialise(_bounds(pairs, sets), "bounds")
-    exact = _overlaps(bounds.where(F.col("most") * 100 >= (F.col("na") + F.col("nb") - F.col("most")) * percent), sets)
+    least = 1 - F.col("most") / (F.col("na") + F.col("nb") - F.col("most"))
+    exact = _overlaps(bounds.where(least <= F.col("upto") + 1e-9), sets)
     rows = bounds.join(exact, ["a", "b"], "left")
     either = F.col("na") + F.col("nb") - F.coalesce("both", "most")
     far = 1 - F.coalesce("both", "most") / either
     linked = F.coalesce(F.col("both") * 100 >= either * percent, F.lit(False))
-    return materialise(rows.select("a", "b", far.alias("low"), F.when(F.col("both").isNotNull(), far).otherwise(1.0).alias("high"), linked.alias("linked")), "distances")
+    out = materialise(rows.select("a", "b", far.alias("low"), F.when(F.col("both").isNotNull(), far).otherwise(1.0).alias("high"), linked.alias("linked")), "distances")
+    common.discard(bounds)
+    return out
 
 
 def block_links(texts: list[bytes], comps: list[int], left: list[bool], right: list[bool], percent: int, known: _Words) -> list[tuple[int, int]]:
@@ -255,22 +263,32 @@ def block_links(texts: list[bytes], comps: list[int], left: list[bool], right: l
     return out
 
 
-def joined_blocks(level: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """(a, b): links within regions too large for pivots. A region is cut into blocks and each two blocks meet in one task."""
-    rows = level.select("region", "node", "comp", F.ceil(F.col("size") / block).alias("blocks")).withColumn("own", common.spread("node", F.col("blocks")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("region", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp").join(sets.select("node", "packed"), "node")
+def joined_regions(level: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the links within regions that aren't split further, joined in memory.
+
+    Home sets are dealt to blocks of at most about CELL sets and WEIGHT shingles, copies to blocks of their own: each two
+    home blocks meet in one task, and each home block meets each block of copies. A region whose home sets fit
+    one block, as nearly all do, is so joined without a pair of blocks but with its copies.
+    """
+    size = F.greatest(F.count(F.lit(1)) / CELL, F.sum("n") / WEIGHT)
+    per = level.groupBy("region").pivot("home", [True, False]).agg(F.ceil(size).cast("long")).select("region", F.col("true").alias("own"), F.coalesce("false", F.lit(0).cast("long")).alias("copies"))
+    rows = level.select("region", "node", "comp", "home").join(per, "region").withColumn("block", F.when(F.col("home"), common.spread("node", F.col("own"))).otherwise(F.col("own") + common.spread("node", F.greatest("copies", F.lit(1)))))
+    last = F.when(F.col("home"), F.col("own") + F.col("copies")).otherwise(F.col("own")) - 1
+    # stored first: a small table is broadcast, by Spark's own limit, and the texts of all sets stay where they are
+    rows = materialise(rows.select("region", "node", "comp", "block", last.alias("last")), "dealt")
+    rows = rows.join(sets.select("node", "packed"), "node").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
+    rows = rows.select("region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "comp", "packed")
 
     def run(key, pdf):
         import pandas as pd
         import zstandard
 
         unpack, known = zstandard.ZstdDecompressor().decompress, _Words()
-        pdf = pdf.sort_values("node")
         got = []
         if pdf["comp"].nunique() > 1:
-            own, node = pdf["own"], pdf["node"].tolist()
-            got = block_links([unpack(bytes(x)) for x in pdf["packed"]], pdf["comp"].tolist(), (own == key[1]).tolist(), (own == key[2]).tolist(), percent, known)
+            pdf = pdf.sort_values("node")
+            block, node = pdf["block"], pdf["node"].tolist()
+            got = block_links([unpack(bytes(x)) for x in pdf["packed"]], pdf["comp"].tolist(), (block == key[1]).tolist(), (block == key[2]).tolist(), percent, known)
         return pd.DataFrame([(node[x], node[y]) for x, y in got] if got else [], columns=["a", "b"], dtype="int64")
 
     return rows.groupBy("region", "i", "j").applyInPandas(run, "a long, b long").where("a <> b").distinct()
@@ -287,89 +305,153 @@ def with_links(new: DataFrame, comps: DataFrame | None) -> DataFrame:
     return new if comps is None else new.unionByName(comps.where("node <> comp").select(F.col("comp").alias("a"), F.col("node").alias("b")))
 
 
-def alive_regions(after: DataFrame) -> DataFrame:
-    """Regions that still hold two components and a home, with their size."""
-    alive = after.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("home").alias("homes"), F.count(F.lit(1)).alias("size")).where("lo < hi AND homes").select("region", "size")
-    return after.drop("comp").join(alive, "region")
+def alive_regions(after: DataFrame, cell: int) -> DataFrame:
+    """Regions that still hold two components and a home, with the number of sets at home there; copies that may meet a home of another component.
+
+    ``split``: whether they are to be split again, being too large for one task and by that no worse than half of the
+    region they come from.
+    """
+    at_home = lambda c: F.when(F.col("home"), F.col(c))
+    alive = after.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(at_home("comp")).alias("home_lo"), F.max(at_home("comp")).alias("home_hi"), F.count(at_home("comp")).alias("homes"), F.max("was").alias("limit"))
+    alive = alive.where("lo < hi AND homes > 0").select("region", "home_lo", "home_hi", "homes", ((F.col("homes") > cell) & (2 * F.col("homes") <= F.col("limit"))).alias("split"))
+    return after.join(alive, "region").where("home OR comp <> home_lo OR comp <> home_hi").drop("home_lo", "home_hi")
+
+
+def first_regions(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(region, node, n, most), stored: the regions of shared first shingles. A partner in the region has at most ``most`` shingles.
+
+    A set whose first shingle in common with another is its i-th has n - i left to share, which bounds the other's size.
+    Of two sets that link in a region the smaller one stands early enough there to be met by sets of its own size.
+    Counts and bounds of a region are sums joined back to its rows, so the rows of a hot shingle are never in one task.
+    """
+    most, wide = F.expr(f"({100 + percent} * (n - i)) div {percent} - n"), 100 / percent
+    early = most >= F.col("n")
+    rows = sets.select("row", "n", F.posexplode("prefix").alias("i", "region"))
+    # a shingle that only one row has, or that none has early, starts no region
+    shared = rows.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.max(early).alias("any_early")).where("c > 1 AND any_early").select("region")
+    rows = rows.join(shared, "region").select("region", "row", "i").join(nodes, "row").withColumn("most", most).select("region", "node", "n", "most")
+    early = F.col("most") >= F.col("n")
+    # Sets alike enough are of like size: their bands, a step of 100 / percent each, are the same or next to each
+    # other, so a set goes to its band's region, and to the next one's if a partner there isn't too large.
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(wide)) + 1e-9)
+    bands = F.when(F.col("most") >= F.floor(F.pow(F.lit(wide), band + 1)) - 1, F.array(band, band + 1)).otherwise(F.array(band))
+    kept = rows = materialise(rows.withColumn("band", F.explode(bands)).distinct(), "region-rows")
+    common.sweep(sets.sparkSession)
+    bounds = rows.groupBy("region", "band").agg(F.min(F.when(early, F.col("n"))).alias("least_early"), F.max(F.when(early, F.col("most"))).alias("most_early"))
+    rows = rows.join(bounds, ["region", "band"]).where("most >= least_early AND n <= most_early").drop("least_early", "most_early")
+    # Shingles that the same sets have start one region: its name is made of its members, and where two names met by
+    # chance, their sets would be joined as one region, no link lost.
+    of = {"c": F.count(F.lit(1)), "lo": F.min("node"), "hi": F.max("node"), "s": F.bit_xor(F.xxhash64("node"))}
+    names = rows.groupBy("region", "band").agg(*(v.alias(k) for k, v in of.items())).where("c > 1").select("region", "band", F.xxhash64(*of).alias("name"))
+    out = materialise(rows.join(names, ["region", "band"]).groupBy(F.col("name").alias("region"), "node", "n").agg(F.max("most").alias("most")), "first-regions")
+    common.discard(kept)
+    return out
 
 
-def links(sets: DataFrame, nodes: DataFrame, percent: int = PERCENT, pivots: int = PIVOTS, large_pivots: int = LARGE_PIVOTS, near: float = NEAR) -> DataFrame | None:
+def links(sets: DataFrame, nodes: DataFrame, percent: int = PERCENT, pivots: int = PIVOTS, cell: int = CELL, near: float = NEAR, told: list | None = None) -> DataFrame | None:
     """(node, comp) of each set that has a link; None where nothing is linked.
 
-    ``sets`` as ``document_sets`` gives them; ``nodes``: (row, node), the node being the first row with the same set.
+    ``sets`` as ``document_sets`` gives them; ``nodes``: (row, n, node), the node being the first row with the same set.
+    ``told`` is given a dict of counts for each round.
     """
-    common.ship(sets.sparkSession)
+    spark = sets.sparkSession
+    common.ship(spark)
     reach = 1 - percent / 100
-    rows = sets.select("row", "n", F.explode("prefix").alias("region"))
-    # A shingle that only one row has starts no region. Sets alike enough are of like size: their bands, a step of 100 /
-    # percent each, are the same or next to each other, so a set goes to its band's region and to the next one's.
-    shared = rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("region"))).where("c > 1").drop("c")
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9)
-    shared = shared.withColumn("band", F.explode(F.array(band, band + 1)))
-    # Shingles that the same rows have start one region: its name is made of its members, and where two names met by
-    # chance, their sets would be joined as one region, no link lost.
-    members = Window.partitionBy("region", "band")
-    of = {"c": F.count(F.lit(1)), "lo": F.min("row"), "hi": F.max("row"), "s": F.bit_xor(F.xxhash64("row"))}
-    shared = shared.withColumns({k: v.over(members) for k, v in of.items()}).where("c > 1")
-    shared = materialise(shared.select(F.xxhash64("c", "lo", "hi", "s").alias("region"), "row", "n", F.col("c").alias("size")).distinct(), "shared")
-    common.sweep(sets.sparkSession)
-    level = shared.join(nodes, "row").select("region", "node", "n", "size").distinct()
-    level = materialise(level.withColumns({"low": F.lit(0.0), "high": F.lit(1.0), "home": F.lit(True)}), "regions")
+    start = first_regions(sets, nodes, percent)
+    common.sweep(spark)
+    level = start.withColumns({"low": F.lit(0.0), "high": F.lit(1.0), "home": F.lit(True), "was": F.lit(2**62), "comp": F.col("node")})
+    level = materialise(alive_regions(level, cell), "regions")
+    common.discard(start)
     # what is compared later is moved once; the first row with a set has its text and is its node
     near_sets = sets.where("packed IS NOT NULL").select(F.col("row").alias("node"), "n", "sketch", "packed")
     near_sets = materialise(near_sets.join(level.select("node").distinct().hint("merge"), "node", "left_semi"), "region-sets")
-    common.sweep(sets.sparkSession)
-    # large regions go first: once they have settled large groups, most of these groups' small regions need nothing more
-    waiting, first = level.where(F.col("size") <= LARGE), level.where(F.col("size") > LARGE)
-    level, waiting = (waiting, None) if first.isEmpty() else (first, waiting)
-    comps = None
-    number = 0
+    common.sweep(spark)
+    comps, number = None, 0
     while not level.isEmpty():
         number += 1
-        now = with_components(level, comps)
-        # a few pivots a region, of different components: the least by hash in each salt, summed up before any shuffle
-        choice = F.when(F.col("home"), F.struct(F.xxhash64(F.lit(number), "node").alias("order"), "node", "n", "comp", "low", "high"))
-        few = F.lit(large_pivots if waiting is not None else pivots)
-        salted = now.groupBy("region", "size", common.spread("comp", few, number).alias("salt")).agg(F.min(choice).alias("pivot"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        chosen = salted.groupBy("region", "size").agg(F.collect_list("pivot").alias("pivots"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where((F.col("lo") < F.col("hi")) & (F.size("pivots") > 0))
-        # a region of many components is split among its pivots; one of few only loses its pivots
-        chosen = chosen.select("region", "pivots", (F.size("pivots") >= few).alias("wide"))
-        if waiting is not None:
-            chosen = chosen.withColumn("wide", F.lit(False))  # what the first pivots leave of large regions is cut into blocks
-        tests = now.drop("size").join(chosen, "region").withColumns({"retired": F.exists("pivots", lambda p: p["node"] == F.col("node")), "first": F.col("pivots")[0]["node"]}).withColumn("pivot", F.explode("pivots")).drop("pivots")
-        tests = tests.select("region", "node", "n", "comp", "low", "high", "retired", "wide", (F.col("first") == F.col("pivot.node")).alias("first"), F.col("pivot.node").alias("p"), F.col("pivot.n").alias("pn"), F.col("pivot.comp").alias("pcomp"), F.col("pivot.low").alias("plow"), F.col("pivot.high").alias("phigh"))
-        least = 1 - F.least("n", "pn") / F.greatest("n", "pn")  # no distance is below what the sizes say
-        apart = F.greatest(least, F.col("low") - F.col("phigh"), F.col("plow") - F.col("high"))  # nor below what the last pivot says
-        tests = materialise(tests.where("node <> p").withColumns({"apart": apart, "a": F.least("node", "p"), "b": F.greatest("node", "p")}), "tests")
-        pairs = tests.where(((F.col("comp") != F.col("pcomp")) | F.col("wide")) & (F.col("apart") <= reach + 1e-9)).select("a", "b").distinct()
-        got = distances(pairs, near_sets, percent)
-        new = got.where("linked").select("a", "b")
-        if not new.isEmpty():
-            comps = materialise(components(with_links(new, comps)), "components")
-        # an interval for each set's distance to each pivot of its region
-        spans = tests.where("NOT retired AND (wide OR first)").select("region", "node", "n", "p", "wide", "apart", "a", "b").join(got.drop("linked"), ["a", "b"], "left")
-        spans = spans.select("region", "node", "n", "p", "wide", F.greatest("apart", "low").alias("low"), F.coalesce("high", F.lit(1.0)).alias("high"))
-        narrow = spans.where("NOT wide").select("node", "n", "region", "low", "high", F.lit(True).alias("home"))
-        per_set = spans.where("wide").groupBy("region", "node", "n").agg(F.collect_list(F.struct("high", "p", "low")).alias("spans"))  # at most one for each pivot
-        per_set = per_set.withColumn("nearest", F.array_min("spans"))
-        per_set = per_set.withColumn("own", F.when(F.col("nearest.high") <= near, F.col("nearest.p")))
-        windows = per_set.select("region", "node", "n", "own", F.explode("spans").alias("s")).where((F.col("own") == F.col("s.p")) | (F.col("s.low") <= near + reach + 1e-9))
-        windows = windows.select("node", "n", F.xxhash64("region", "s.p", F.lit(number)).alias("region"), F.col("s.low").alias("low"), F.col("s.high").alias("high"), F.coalesce(F.col("own") == F.col("s.p"), F.lit(False)).alias("home"))
-        far = per_set.where("own IS NULL").select("node", "n", F.xxhash64("region", F.lit(number)).alias("region"), F.lit(0.0).alias("low"), F.lit(1.0).alias("high"), F.lit(True).alias("home"))
-        after = narrow.unionByName(windows).unionByName(far)
-        if waiting is not None:
-            rest = alive_regions(with_components(after, comps))
-            rest = materialise(with_components(rest, comps), "large")
-            if not rest.isEmpty():
-                new = materialise(joined_blocks(rest, near_sets, percent, BLOCK), "block-links")
-                comps = materialise(components(with_links(new, comps)), "components")
-            after, waiting = waiting.drop("size"), None
-        level = materialise(alive_regions(with_components(after, comps)), "regions")
-        common.sweep(sets.sparkSession)
+        now = level
+        count = {"rows": level.count(), "windows": level.where("NOT home").count(), "split": level.where("split").select("region").distinct().count()} if told is not None else {}
+        new = None
+        if number > 1:  # the first round's few pivots have settled groups of near copies
+            whole = now.where("NOT split")
+            if not whole.isEmpty():
+                new = materialise(joined_regions(whole, near_sets, percent), "region-links")
+            now = now.where("split")
+        if number == 1 or not now.isEmpty():
+            tests = pivot_tests(now, F.lit(FIRST) if number == 1 else F.greatest(F.lit(pivots), F.least(F.ceil(2 * F.col("homes") / cell), F.ceil(F.sqrt("homes"))).cast("int")), number, number > 1, near, reach)
+            # a small table of pairs is broadcast, by Spark's own limit, and no text is shuffled for it
+            pairs = materialise(tests.where(F.col("apart") <= F.col("upto") + 1e-9).groupBy("a", "b").agg(F.max("upto").alias("upto")), "pairs")
+            got = distances(pairs, near_sets, percent)
+            found = got.where("linked").select("a", "b")
+            new = found if new is None else new.unionByName(found)
+            count |= {"tests": tests.count(), "pairs": pairs.count()} if told is not None else {}
+        else:
+            tests = pairs = got = None
+        if new is not None and not new.isEmpty():
+            before, comps = comps, materialise(components(with_links(new, comps)), "components")
+            common.discard(before)
+        common.discard(new)
+        if told is not None:
+            told.append(count)
+        before = level
+        if tests is None:
+            level = spark.createDataFrame([], level.schema)
+        else:
+            # an interval for each set's distance to each pivot of a region that is split, else to one pivot
+            spans = tests.where("NOT retired" if number > 1 else "NOT retired AND main").join(got.drop("linked"), ["a", "b"], "left")
+            spans = spans.select("region", "node", "n", "most", "home", "homes", "p", F.greatest("apart", "low").alias("low"), F.coalesce("high", F.lit(1.0)).alias("high"))
+            after = voronoi(spans, comps, near, reach, number) if number > 1 else with_components(spans.drop("homes", "p").withColumn("was", F.lit(2**62)), comps)
+            level = materialise(alive_regions(after, cell), "regions")
+        common.discard(before, tests, pairs, got)
+        common.sweep(spark)
+    common.discard(level, near_sets)
     return comps
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def pivot_tests(now: DataFrame, k, number: int, split: bool, near: float, reach: float) -> DataFrame:
+    """(region, node, n, most, home, homes, retired, main, p, apart, upto, a, b), stored: each set with each pivot of its region.
+
+    ``apart``: no distance is below what the sizes and the last pivot say; ``upto``: up to what it is asked for, null where
+    it isn't. Pivots are of different components: the least set by hash in each of a few salts of components,
+    summed up before any shuffle. The hash is the same in all regions, so regions with the same sets share pivots.
+    """
+    now = now.withColumn("k", k)
+    choice = F.struct(F.xxhash64(F.lit(number), "node").alias("order"), "node", "n", "most", "comp", "low", "high", "home")
+    salted = now.groupBy("region", "k", common.spread("comp", F.col("k") * 4, number).alias("salt")).agg(F.min(choice).alias("pivot"))
+    chosen = salted.groupBy("region", "k").agg(F.array_sort(F.collect_list("pivot")).alias("found"))
+    chosen = chosen.select("region", F.slice("found", F.lit(1), F.col("k")).alias("pivots"))
+    tests = now.join(chosen, "region").withColumns({"retired": F.exists("pivots", lambda p: p["node"] == F.col("node")), "first": F.col("pivots")[0]["node"]}).withColumn("of", F.explode("pivots"))
+    tests = tests.withColumns({"p": F.col("of.node"), "main": F.col("first") == F.col("of.node")}).where("node <> p")
+    least = 1 - F.least("n", "of.n") / F.greatest("n", "of.n")
+    apart = F.greatest(least, F.col("low") - F.col("of.high"), F.col("of.low") - F.col("high"))
+    meets = (F.col("comp") != F.col("of.comp")) & (F.col("home") | F.col("of.home")) & (F.col("n") <= F.col("of.most")) & (F.col("of.n") <= F.col("most"))
+    tests = tests.withColumns({"apart": apart, "upto": F.lit(near) if split else F.when(meets, F.lit(reach)), "a": F.least("node", "p"), "b": F.greatest("node", "p")})
+    return materialise(tests.select("region", "node", "n", "most", "home", "homes", "retired", "main", "p", "apart", "upto", "a", "b"), "tests")
+
+
+def voronoi(spans: DataFrame, comps: DataFrame | None, near: float, reach: float, number: int) -> DataFrame:
+    """Rows of the regions' parts from (region, node, n, most, home, homes, p, low, high), a row a set and pivot.
+
+    A set is at home with the pivot that is surely nearest, if that is within ``near``; else in the far part. With x at
+    home at i and y at j, d(x, y) <= reach means d(y, i) <= near + reach and d(y, i) <= d(y, j) + 2 * reach. So y is
+    copied to each such i before j; far sets are copied to all such i. A set that came here as a copy meets home sets
+    only: it's copied wherever one may be, the far part included.
+    """
+    rows = spans.groupBy("region", "node", "n", "most", "home", "homes").agg(F.collect_list(F.struct("high", "p", "low")).alias("spans"))  # at most one for each pivot
+    rows = with_components(rows, comps).withColumn("nearest", F.array_min("spans")).withColumn("own", F.when(F.col("nearest.high") <= near, F.col("nearest.p")))
+    # one more entry stands for the far part
+    entry = F.struct(F.lit(1.0).alias("high"), F.lit(None).cast("long").alias("p"), F.lit(0.0).alias("low"))
+    each = rows.withColumn("s", F.explode(F.array_append("spans", entry)))
+    far, own, none = F.col("s.p").isNull(), F.coalesce(F.col("own") == F.col("s.p"), F.lit(False)), F.col("own").isNull()
+    near_own = none | (F.col("s.low") <= F.col("nearest.high") + 2 * reach + 1e-9)
+    in_turn = none | ~F.col("home") | (F.col("s.p") < F.col("own"))
+    copied = (F.col("s.low") <= near + reach + 1e-9) & near_own & in_turn
+    each = each.where(F.when(far, none | ~F.col("home")).otherwise((F.col("home") & own) | copied))
+    part = F.when(far, F.xxhash64("region", F.lit(number))).otherwise(F.xxhash64("region", "s.p", F.lit(number)))
+    return each.select(part.alias("region"), "node", "comp", "n", "most", F.col("s.low").alias("low"), F.col("s.high").alias("high"), (F.col("home") & (own | far)).alias("home"), F.col("homes").alias("was"))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, told: list | None = None) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id, group_size.
 
     Documents link when 100 * intersection >= percent * union of their sets of 5-word shingles (64-bit hashes of
@@ -380,7 +462,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = document_sets(docs, id_col, text_col, percent)
     filled = sets.where("n > 0")
     nodes = materialise(filled.groupBy("digest").agg(F.min("row").alias("node"), F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")), "nodes")
-    comps = links(sets, filled.select("row", "digest").join(nodes.select("digest", "node"), "digest").select("row", "node"), percent)
+    comps = links(sets, filled.select("row", "n", "digest").join(nodes.select("digest", "node"), "digest").select("row", "n", "node"), percent, told=told)
     if comps is None:
         classes = nodes.select("digest", F.col("least").alias("component_id"), F.col("copies").alias("group_size"))
     else:
@@ -396,12 +478,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents of which one a group stays: that with the smallest id, and every document linked with nothing.
 
-    Rows without words stay. Of rows repeated with id and text one stays. All columns of ``docs`` are kept. Texts move
+    Rows without words stay, an empty table stays empty. A null id comes after all others; ids may be of any type that
+    has an order. Of rows repeated with id and text one stays. All columns of ``docs`` are kept. Texts move
     once, to meet the keys of the rows that stay; rows are told apart by id and a hash of the text.
     """
-    of = {"__lm_id": F.coalesce(F.col(id_col), F.lit(0)), "__lm_unknown": F.col(id_col).isNull(), "__lm_hash": F.xxhash64(common.text_of(text_col))}
+    of = {"__lm_unknown": F.col(id_col).isNull(), "__lm_id": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "__lm_hash": F.xxhash64(common.text_of(text_col))}
     rows = docs.withColumns(of)
-    key = F.struct("__lm_unknown", "__lm_id", "__lm_hash")
+    key = F.struct("__lm_unknown", F.col(id_col).alias("__lm_own"), "__lm_hash")
     out = jaccard_components(rows.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text", percent)
-    kept = materialise(out.where(F.col("key") == F.col("component_id")).select("key.*").distinct(), "near-kept")
+    kept = out.where(F.col("key").eqNullSafe(F.col("component_id"))).select("key.*")
+    kept = materialise(kept.select("__lm_unknown", F.coalesce(F.col("__lm_own").cast("string"), F.lit("")).alias("__lm_id"), "__lm_hash").distinct(), "near-kept")
     return rows.join(kept.hint("merge"), list(of), "left_semi").dropDuplicates(list(of)).select(*docs.columns)

@@ -77,15 +77,57 @@ def chained_rows():
     return [(int(i), rows[int(i)]) for i in order]
 
 
-@pytest.mark.parametrize("pivots", [2, 8])
-def test_links_of_chains_stars_and_passages(spark, pivots, monkeypatch):
-    rows = chained_rows()
-    monkeypatch.setattr(jaccard.links, "__defaults__", (80, pivots, 2, 0.4))
-    monkeypatch.setattr(jaccard, "LARGE", 24)
-    monkeypatch.setattr(jaccard, "BLOCK", 10)
-    monkeypatch.setattr(jaccard, "HOT_LEAST", 20)
+@pytest.mark.parametrize(("pivots", "cell"), [(2, 8), (6, 20)])
+def test_links_of_chains_stars_and_passages(spark, pivots, cell, monkeypatch):
+    rows, told = chained_rows(), []
+    monkeypatch.setattr(jaccard.links, "__defaults__", (80, pivots, cell, 0.4, None))
+    monkeypatch.setattr(jaccard, "CELL", cell)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    assert joined(jaccard.jaccard_components(df)) == sorted(brute_components(rows), key=key)
+    assert joined(jaccard.jaccard_components(df, told=told)) == sorted(brute_components(rows), key=key)
+    assert sum(r["split"] for r in told[1:]) > 0 and sum(r["windows"] for r in told) > 0
+
+
+def crowd(n, words=72, edits=4, seed=1):
+    """Near copies of one text, each with edits of its own: many link with no other, all are near all."""
+    rng, base = np.random.default_rng(seed), [f"c{i}" for i in range(words)]
+    rows = []
+    for i in range(n):
+        mine = list(base)
+        for k in rng.choice(words, 1 + i % edits, replace=False):
+            mine[k] = f"e{i % 97}x{k}"
+        rows.append((i, " ".join(mine)))
+    return rows
+
+
+def test_production_parameters_split_a_crowd_and_make_windows(spark):
+    rows, told = crowd(1500, 60, 2), []
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert joined(jaccard.jaccard_components(df, told=told)) == sorted(brute_components(rows), key=key)
+    assert sum(r["split"] for r in told[1:]) > 0 and sum(r["windows"] for r in told) > 0
+
+
+def test_parts_of_a_region_hold_each_pair_near_enough_once(spark):
+    """Points on a line stand for sets: each pair within reach of which one was at home meets where one is at home."""
+    rng = np.random.default_rng(1)
+    at, home = np.sort(rng.random(60)) * 2, rng.random(60) < 0.7
+    far = lambda d: float(min(1.0, d))
+    spans = [("r", i, 9, 9, bool(home[i]), 60, p, far(abs(at[i] - at[p])), far(abs(at[i] - at[p])) if abs(at[i] - at[p]) <= 0.4 else 1.0) for p in (3, 20, 40) for i in range(60) if i not in (3, 20, 40)]
+    df = spark.createDataFrame([(1, *s[1:]) for s in spans], "region long, node long, n long, most long, home boolean, homes long, p long, low double, high double")
+    parts = defaultdict(list)
+    for r in jaccard.voronoi(df, None, 0.4, 0.2, 1).collect():
+        parts[r.region].append((r.node, r.home))
+    met = Counter()
+    for rows in parts.values():
+        for x, hx in rows:
+            for y, hy in rows:
+                if x < y and (hx or hy):
+                    met[x, y] += 1
+    rest = [i for i in range(60) if i not in (3, 20, 40)]
+    for i in rest:
+        for j in rest:
+            if i < j and abs(at[i] - at[j]) <= 0.2 and (home[i] or home[j]):
+                assert met[i, j] >= 1, (i, j)
+                assert met[i, j] == 1 or not (home[i] and home[j])
 
 
 def test_jaccard_join_of_odd_rows(odd, odd_rows, empty):
@@ -98,28 +140,13 @@ def test_jaccard_join_of_odd_rows(odd, odd_rows, empty):
     assert texts[""] == 3 - 1 and texts[None] == 2 and sum(texts[t] for t in texts if t and "many documents share" in t) == 1
 
 
-def test_blocks_join_what_pairs_would():
-    texts = [t.encode() for _, t in chained_rows() if t and t.split()]
-    n = len(texts)
-    for left, right in (([True] * n, [True] * n), ([i % 2 == 0 for i in range(n)], [i % 2 == 1 for i in range(n)])):
-        got = jaccard.block_links(texts, list(range(n)), left, right, 80, jaccard._Words())
-        parent, want = list(range(n)), list(range(n))
-
-        def find(p, i):
-            while p[i] != i:
-                i = p[i]
-            return i
-
-        for i, j in got:
-            parent[find(parent, i)] = find(parent, j)
-        sets = [shingle_set(t.decode()) for t in texts]
-        for i in range(n):
-            for j in range(n):
-                k = len(sets[i] & sets[j])
-                if i != j and left[i] and right[j] and 100 * k >= 80 * (len(sets[i]) + len(sets[j]) - k):
-                    want[find(want, i)] = find(want, j)
-        same = lambda p: {frozenset(i for i in range(n) if find(p, i) == r) for r in {find(p, i) for i in range(n)}}
-        assert same(parent) == same(want)
+def test_ids_of_any_type_and_clashing_names(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [("b", text, 1, "x"), ("a", text + " more", 2, "y"), (None, text, 3, "z"), ("c", None, 4, "n"), ("c", None, 4, "n")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, n long, component_id string")
+    assert {(r.doc_id, r.component_id) for r in jaccard.jaccard_components(docs).collect()} == {("b", "a"), ("a", "a"), (None, "a"), ("c", "c")}
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == [rows[1], rows[3]]
 
 
 @settings(max_examples=200, deadline=None)
@@ -217,10 +244,58 @@ def test_fingerprints_of_the_table(spark, sf):
     assert np.median(a) > 0.3 and np.median(b) < 0.05 and (a > b).mean() > 0.9
 
 
-def test_fingerprints_over_many_ranges(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 120").repartition(5)
-    rows = fingerprint.neighbour_likeness(docs, part_mb=0.05 and 1).collect()
-    check_fingerprints(rows, [(r.doc_id, r.text) for r in docs.collect()])
+def test_fingerprints_over_many_ranges_and_any_layout(spark, sf):
+    """Several ranges, ids repeated across their borders; files and batches change no fingerprint and no likeness."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 120")
+    docs = docs.unionByName(docs.where("doc_id % 3 = 0")).unionByName(docs.where("doc_id % 7 = 0").withColumn("text", docs.lang)).cache()
+    want = [(r.doc_id, r.text) for r in docs.collect()]
+    seen = set()
+    for n, mb in ((1, 0.02), (7, 0.02), (3, 24)):
+        rows = fingerprint.neighbour_likeness(docs.repartition(n), part_mb=mb).collect()
+        assert len(rows) == len(want)
+        seen.add(tuple(sorted((r.doc_id, r.edited_sha256, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) for r in rows)))
+    assert len(seen) == 1
+    size = sum(len((t or "").encode()) for _, t in want)
+    assert size / (0.02 * 2**20) > 5
+    once = docs.dropDuplicates(["doc_id"])
+    check_fingerprints(fingerprint.neighbour_likeness(once.repartition(3), part_mb=0.02).collect(), [(r.doc_id, r.text) for r in once.collect()])
+
+
+def plain_likeness(a, b):
+    """The definition, filter by filter and bit by bit."""
+    a, b = ([set(np.flatnonzero(np.unpackbits(row)).tolist()) for row in chain] for chain in (a, b))
+    if not a or not b:
+        return float(len(a) == len(b))
+    if len(a) > len(b):
+        a, b = b, a
+    total = 0.0
+    for x in a:
+        best = 0.0
+        for y in b:
+            most, chance = min(len(x), len(y)), len(x) * len(y) / 2048
+            cut = chance + 0.1 * (most - chance)
+            best = max(best, (len(x & y) - cut) / max(most - cut, 1e-9))
+        total += best
+    return min(1.0, total / len(a))
+
+
+def test_likeness_of_neighbours_by_its_definition(spark, sf):
+    t = sorted((r["doc_id"], r["text"] or "") for r in pq.read_table(f"{sf}/documents.parquet").to_pylist())[:60]
+    rows = {r.doc_id: r for r in fingerprint.neighbour_likeness(spark.createDataFrame(t, "doc_id long, text string")).collect()}
+    for (d, _), (e, _) in zip(t, t[1:] + t[:1], strict=True):
+        own, new, after = (fingerprint.read(x) for x in (rows[d].fingerprint, rows[d].edited_fingerprint, rows[e].fingerprint))
+        assert rows[d].near_edited == pytest.approx(plain_likeness(own, new), abs=1e-9)
+        assert rows[d].near_next == pytest.approx(plain_likeness(own, after), abs=1e-9)
+
+
+def test_fingerprints_with_ids_of_text(spark):
+    rows = [("b", "y" * 70), ("a", None), (None, "last"), ("c", "z"), ("é", "w")]
+    got = {r.doc_id: r for r in fingerprint.neighbour_likeness(spark.createDataFrame(rows, "doc_id string, text string"), part_mb=1e-5).collect()}
+    order = ["a", "b", "c", "é", None]
+    texts = dict(rows)
+    for d, e in zip(order, order[1:] + order[:1], strict=True):
+        x, y = texts[d] or "", texts[e] or ""
+        assert got[d].edited_sha256 == hashlib.sha256((x[: len(x) - len(x) // 2] + y[: len(x) // 2]).encode()).hexdigest()
 
 
 def test_fingerprints_of_odd_rows(spark, odd_rows, empty):

@@ -93,3 +93,31 @@ def test_oracles(spark, name):
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
     assert sorted(map(tuple, got.select(*columns).collect())) == sorted(tuple(r[want.columns.index(c)] for c in columns) for r in want.fetchall())
+
+
+CLASHES = "doc_id long, text string, lang string, source string, n_chars long, score double, predicted string, n_lines string, n_dropped long, size long, n long, row long, node long, comp long, region long, copies long, taken long, length long"
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_of_odd_rows_and_of_none(spark, odd_rows, number):
+    """Nulls, empty and long texts, ties, repeated rows and clashing names: columns stay, values of other columns too."""
+    name, stage = corpus_pipeline.STAGES[number]
+    rows = [(r[0], r[1], r[2], r[3], r[4], 42.0, "mine", "x", 7, 1, 2, 3, 4, 5, 6, 8, 9, 10) for r in odd_rows]
+    docs = spark.createDataFrame(rows, CLASHES).repartition(3)
+    out = stage(spark, docs, SF)
+    got = out.collect()
+    if name != "best_fit_packing":
+        assert out.schema.names == docs.schema.names and {(r.score, r.predicted, r.n_lines, r.n_dropped, r.length) for r in got} == {(42.0, "mine", "x", 7, 10)}
+        known = {(r[0], r[1]) for r in rows}
+        assert all((r.doc_id, r.text) in known for r in got if name != "line_dedup")
+    else:
+        assert Counter(r.doc_id for r in got if r.piece == 0) == Counter(r[0] for r in rows)
+    none = stage(spark, docs.where("false"), SF)
+    assert none.count() == 0
+
+
+def test_mix_of_files_in_any_order(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.unionByName(docs.where("doc_id % 4 = 0"))
+    one, two = (sorted(r.doc_id for r in corpus_pipeline.mix(spark, docs.repartition(n), SF).collect()) for n in (1, 6))
+    assert one == two and max(Counter(one).values()) <= 4
