@@ -57,35 +57,51 @@ def sheet_marks(rng, n=5, points=720):
     return xy, np.full(n, 0.05), [row for row in smooth]
 
 
-def side(xy, area, outline):
-    return {"xy": np.array(xy), "area": np.array(area), "outline": [marks.strip_harmonics(np.asarray(o)) for o in outline]}
-
-
-@pytest.mark.parametrize("flip", ["flip_v", "flip_h"])
-def test_one_sheet_is_confirmed_from_both_sides(flip):
-    xy, area, outline = sheet_marks(np.random.default_rng(7))
-    back = marks.moved(xy, flip) + np.array([0.013, -0.02])
-    got = marks.verdict(side(xy, area, outline), side(back, area, [marks.turned(o, flip) for o in outline]))
-    assert got["confirmed"] and got["transform"] == flip and got["agreeing"] == 5
-
-
-def test_other_sheets_and_controls_abstain():
-    rng = np.random.default_rng(8)
-    (xy, area, one), (_, _, two) = sheet_marks(rng), sheet_marks(rng)
-    assert not marks.verdict(side(xy, area, one), side(marks.moved(xy, "flip_v"), area, two))["confirmed"]
-    same = marks.verdict(side(xy, area, one), side(xy, area, one))
-    assert not same["confirmed"]
-    assert marks.verdict(side(xy[:1], area[:1], one[:1]), side(xy, area, two))["reason"] == "too few marks"
-    assert marks.verdict(side(np.zeros((0, 2)), [], []), side(xy, area, two))["reason"] == "no mark found on a page"
-    punched = np.array([[0.3, 0.5], [0.7, 0.5]])
-    assert marks.ambiguous(punched, np.array([0.05, 0.05]), "flip_h").all()
-
-
-def test_profiles_round_trip():
-    p = np.random.default_rng(1).normal(size=64)
-    for name in ("flip_v", "flip_h", "rot180", "same"):
-        assert np.allclose(marks.turned(marks.turned(p, name), name), p)
-    assert marks.margin(np.ones(8), p[:8], "flip_v") is None
+def sheets(spark, *pairs):
+    """Marks of numbered page pairs from ((xy, area, outlines) of the front, of the back)."""
+    rows = [(n, side, float(x), float(y), float(a), [float(v) for v in o]) for n, sides in enumerate(pairs) for side, (xy, area, outline) in enumerate(sides) for (x, y), a, o in zip(xy, area, outline, strict=True)]
+    return spark.createDataFrame(rows, "pair long, side int, x double, y double, area double, outline array<double>")
+
+
+def other_side(xy, outline, flip):
+    """What the back of a sheet shows after the flip; an angle's profile is read backwards, from half way on for flip_h."""
+    back = [o[::-1] for o in outline]
+    if flip == "flip_h":
+        return np.abs(np.array([1, 0]) - xy), [np.roll(o, len(o) // 2) for o in back]
+    return np.abs(np.array([0, 1]) - xy), back
+
+
+def test_one_sheet_is_confirmed_from_both_sides_and_others_abstain(spark):
+    (xy, area, one), (_, _, two) = sheet_marks(np.random.default_rng(7)), sheet_marks(np.random.default_rng(8))
+    pairs, shift = [], np.array([0.013, -0.02])
+    for flip in ("flip_v", "flip_h"):
+        there, seen = other_side(xy, one, flip)
+        pairs.append(((xy, area, one), (there + shift, area, seen)))
+    there, seen = other_side(xy, one, "flip_v")
+    pairs.append(((xy, area, two), (there, area, seen)))  # other tears at the same places
+    pairs.append(((xy, area, one), (xy, area, one)))  # the same side twice
+    pairs.append(((xy[:1], area[:1], one[:1]), (there, area, seen)))
+    pairs.append(((xy[:0], area[:0], one[:0]), (there, area, seen)))
+    pairs.append(((xy, area, [np.ones(720)] * 5), (there, area, seen)))  # no shape on one side
+    got = {r.pair: r for r in marks.compare(sheets(spark, *pairs)).collect()}
+    assert [(got[n].confirmed, got[n].transform, got[n].agreeing, got[n].reason) for n in (0, 1)] == [(True, "flip_v", 5, "agree"), (True, "flip_h", 5, "agree")]
+    assert not any(got[n].confirmed for n in range(2, 7))
+    assert [got[n].reason for n in (2, 4, 5, 6)] == ["below_margin", "single", "unmarked", "below_margin"]
+
+
+def test_marks_that_a_flip_lays_on_their_own_page_tell_nothing(spark):
+    _, _, one = sheet_marks(np.random.default_rng(7))
+    punched = (np.array([[0.3, 0.5], [0.7, 0.5]]), np.array([0.05, 0.05]), one[:2])
+    rows = marks.compare(sheets(spark, (punched, punched))).collect()
+    assert not rows[0].confirmed and rows[0].ambiguous == 4
+
+
+def test_slow_waves_go_and_tears_stay(spark):
+    turn = np.arange(72) * 2 * np.pi / 72
+    slow, fast = 3 + np.cos(turn) - 2 * np.sin(2 * turn), np.cos(5 * turn)
+    df = spark.createDataFrame([((slow + fast).tolist(),), (None,), ([1.0],)], "o array<double>")
+    got = [r[0] for r in df.select(marks.tear("o")).collect()]
+    assert np.allclose(got[0], fast) and got[1:] == [None, None]
 
 
 def test_half_of_the_made_up_pairs_are_one_sheet(spark):
