@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 # Month names by number, readings that are no value, spellings of form classes.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
-NO_VALUE = ("", "n/a", "na", "none", "unknown", "illegible", "-")
+# Readings that stand for no value, as they are compared.
+NO_VALUE = ("na", "n", "none", "nil", "notapplicable", "unknown", "blank", "nonvalue", "no", "0")
 PAGE_ID = r"^(\d+)-(\d+)-([1-9]\d*)$"
 
 
@@ -68,16 +69,21 @@ def page_parts(x: Column | str) -> Column:
 
 
 def century(year: Column) -> Column:
-    """A year under 100 up to 30 is of this century, others of the last."""
-    return F.when(year >= 100, year).when(year <= 30, year + 2000).otherwise(year + 1900)
+    """A year written with four digits as it is; a shorter one up to 30 is of this century, others of the last."""
+    value = year.try_cast("int")
+    return F.when(F.length(year) == 4, value).when(value <= 30, value + 2000).otherwise(value + 1900)
+
+
+# The writings of a date that forms use.
+ISO_DATE = r"^(\d{4})-(\d{2})-(\d{2})$"
+SLASHED_DATE = r"^(\d{1,2})[/\-.](\d{1,2})[/\-.](\d{2,4})$"
+WORDED_DATE = r"^([A-Za-z]{3,9})\.?\s+(\d{1,2}),?\s+(\d{2,4})$"
+THREE_NUMBERS = r"(\d{1,4})\D+(\d{1,2})\D+(\d{1,4})"
 
 
 def parse_date(x: Column | str) -> Column:
     """ISO, month/day/year with ``/``, ``-`` or ``.``, or a month by name; null for what is no date."""
     x = F.trim(_c(x))
-    iso = r"^(\d{4})-(\d{1,2})-(\d{1,2})$"
-    mdy = r"^(\d{1,2})\s*[/.\-]\s*(\d{1,2})\s*[/.\-]\s*(\d{2,4})$"
-    named = r"^([A-Za-z]{3})[a-z]*\.?\s+(\d{1,2}),?\s+(\d{2,4})$"
 
     def build(y: Column, m: Column, d: Column) -> Column:
         text = F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0"))
@@ -86,20 +92,20 @@ def parse_date(x: Column | str) -> Column:
     def number(p: str, k: int) -> Column:
         return extract(x, p, k).try_cast("int")
 
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.regexp_extract(x, named, 1))).cast("int")
+    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.substring(F.regexp_extract(x, WORDED_DATE, 1), 1, 3))).cast("int")
     return (
-        F.when(x.rlike(iso), build(number(iso, 1), number(iso, 2), number(iso, 3)))
-        .when(x.rlike(mdy), build(century(number(mdy, 3)), number(mdy, 1), number(mdy, 2)))
-        .when(x.rlike(named) & (month > 0), build(century(number(named, 3)), month, number(named, 2)))
+        F.when(x.rlike(ISO_DATE), build(number(ISO_DATE, 1), number(ISO_DATE, 2), number(ISO_DATE, 3)))
+        .when(x.rlike(SLASHED_DATE), build(century(extract(x, SLASHED_DATE, 3)), number(SLASHED_DATE, 1), number(SLASHED_DATE, 2)))
+        .when(x.rlike(WORDED_DATE) & (month > 0), build(century(extract(x, WORDED_DATE, 3)), month, number(WORDED_DATE, 2)))
     )
 
 
 def month_year(x: Column | str) -> Column:
-    """D3: a stamp at the precision of months, as yyyy-mm."""
+    """D3: a stamp at the precision of months, as yyyy-mm; without a month by name or a year, its last two numbers."""
     x = F.lower(_c(x))
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.regexp_extract(x, r"([a-z]{3})[a-z]*\W+(?:\d{1,2}\W+)?(?:19|20)\d\d", 1)).cast("int")
-    year = extract(x, r"((?:19|20)\d\d)").try_cast("int")
-    return F.when((month > 0) & year.isNotNull(), F.concat_ws("-", year.cast("string"), F.lpad(month.cast("string"), 2, "0")))
+    month = F.coalesce(*(F.when(x.contains(m), F.lit(f"{n:02d}")) for n, m in enumerate(MONTHS, 1)))
+    year, numbers = extract(x, r"((?:19|20)\d\d)"), F.regexp_extract_all(x, F.lit(r"(\d+)"), F.lit(1))
+    return F.when(month.isNotNull() & year.isNotNull(), F.concat_ws("-", year, month)).when(F.size(numbers) >= 2, F.array_join(F.slice(numbers, -2, 2), "-"))
 
 
 def parse_depth(x: Column | str) -> Column:
@@ -108,16 +114,20 @@ def parse_depth(x: Column | str) -> Column:
 
 
 def field_value(field: Column | str, x: Column | str) -> Column:
-    """what two readings of a field are compared by; null for readings that are no value."""
-    field, raw = _c(field), F.lower(F.trim(_c(x)))
-    numbers = F.transform(F.regexp_extract_all(raw, F.lit(r"(\d+)"), F.lit(1)), lambda v: (v.try_cast("long") % 100).cast("string"))
+    """what two readings of a field are compared by; null for readings that are no value, whatever signs they have."""
+    field, raw = _c(field), _c(x)
+    text = norm(raw)
+    bare = lambda v: F.regexp_replace(v, "^0+", "")
+    parts = F.array(*(F.regexp_extract(raw, THREE_NUMBERS, k).try_cast("int") % 100 for k in (1, 2, 3)))
     by = (
-        F.when(field == "district", F.regexp_replace(norm(raw), "^0+", ""))
-        .when(field == "date", F.when(F.size(numbers) == 3, F.array_join(numbers, "-")))
-        .when(field == "depth", F.regexp_replace(raw, "[^0-9]", ""))
-        .otherwise(norm(raw))
+        F.when(field == "district", F.coalesce(F.nullif(bare(text), F.lit("")), F.lit("0")))
+        .when(field == "date", F.when(raw.rlike(THREE_NUMBERS), F.array_join(parts.cast("array<string>"), "-")).otherwise(text))
+        .when(field == "received_date", month_year(raw))
+        .when(field == "depth", bare(F.regexp_replace(raw, "[^0-9]", "")))
+        .otherwise(text)
     )
-    return F.when(~raw.isin(*NO_VALUE), F.nullif(by, F.lit("")))
+    known = (text != "") & ~text.isin(*NO_VALUE)
+    return F.when(known, F.nullif(by, F.lit("")))
 
 
 def equivalent(want: Column | str, got: Column | str) -> Column:

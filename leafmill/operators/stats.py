@@ -85,7 +85,7 @@ def domain_ratio(drawn: DataFrame, stratum: str, frame: str, hit: Column, inside
     return rows.agg(F.sum(F.when(F.col("i"), F.col("w"))).alias("weighted_members"), F.try_divide(F.sum(F.when(F.col("i") & F.col("h"), F.col("w"))), F.sum(F.when(F.col("i"), F.col("w")))).alias("ratio"))
 
 
-def bootstrap(rows: DataFrame, stratum: str, key: str, hit: str, replicates: int = 200, seed: int = 0) -> DataFrame:
+def bootstrap(rows: DataFrame, stratum: str, key: str, hit: str, replicates: int = 2000, seed: int = 0) -> DataFrame:
     """Nearest-rank 5th and 95th percentile of the frame-weighted share over resamples within strata.
 
     Each replicate gives each row a Poisson(1) count from a hash, so a resample is one more aggregate of the

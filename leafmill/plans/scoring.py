@@ -194,7 +194,7 @@ def intervals(spark, sf):
 @register("interval_bisection")
 def interval_bisection(spark, sf):
     """Rows only: upper bounds by bisection; tests hold them against the closed form and the binomial tail."""
-    rows = table(spark, sf, "labels").groupBy((F.col("doc_id") % 7).alias("k")).agg(F.least(F.count(F.lit(1)), F.lit(40)).alias("n"), F.least(F.sum("toxic"), F.lit(5)).alias("hits"))
+    rows = table(spark, sf, "labels").groupBy((F.col("doc_id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("hits"))
     return rows.select("k", "n", "hits", F.round(stats.upper_bound(F.col("hits"), F.col("n")), 6).alias("upper"))
 
 

@@ -23,9 +23,13 @@ from .catalogue import register
 )
 def norm_fold_tokens(spark, sf):
     """Normalised and folded tokens per document."""
-    words = table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("w")).withColumn("n", S.norm("w")).where("n <> ''")
-    folded = F.translate("n", "oli", "011")
-    return words.groupBy("doc_id").agg(F.count(F.lit(1)).alias("printed"), F.countDistinct(folded).alias("folded"), F.count_if(S.is_anchor("w")).alias("anchors"), F.min(folded).alias("first_token"), F.sum(F.length("n")).alias("signs"))
+    # a document's words are in its own row: arrays need no shuffle
+    words = F.filter(F.transform(F.split("text", " "), lambda w: F.struct(w.alias("w"), S.norm(w).alias("n"))), lambda p: p["n"] != "")
+    rows = table(spark, sf, "documents").select("doc_id", words.alias("words"))
+    rows = rows.where(F.size("words") > 0).withColumn("folded", F.array_distinct(F.transform("words", lambda p: F.translate(p["n"], "oli", "011"))))
+    anchors = F.size(F.filter("words", lambda p: S.is_anchor(p["w"]))).cast("long")
+    signs = F.aggregate("words", F.lit(0).cast("long"), lambda total, p: total + F.length(p["n"]))
+    return rows.select("doc_id", F.size("words").cast("long").alias("printed"), F.size("folded").cast("long").alias("folded"), anchors.alias("anchors"), F.array_min("folded").alias("first_token"), signs.alias("signs"))
 
 
 @register(
@@ -122,8 +126,8 @@ SELECT o_orderkey AS k, CASE o_orderkey % 8
     p AS (SELECT k, s, CASE WHEN k % 8 IN (5, 6) THEN NULL
             WHEN k % 8 IN (2, 7) THEN make_date(CASE WHEN year(o_orderdate) % 100 <= 30 THEN 2000 ELSE 1900 END + year(o_orderdate) % 100, month(o_orderdate), day(o_orderdate))
             ELSE CAST(o_orderdate AS DATE) END AS d, o_orderdate FROM d)
-    SELECT k, s, d AS parsed, CASE WHEN k % 8 IN (3, 4) THEN strftime(o_orderdate, '%Y-%m') END AS stamp,
-           CASE WHEN k % 8 IN (0, 1, 2, 5, 7) THEN array_to_string(list_transform(regexp_extract_all(s, '[0-9]+'), lambda x: CAST(CAST(x AS INT) % 100 AS VARCHAR)), '-') END AS grouping_form
+    SELECT k, s, d AS parsed, CASE WHEN k % 8 IN (3, 4) THEN strftime(o_orderdate, '%Y-%m') WHEN k % 8 <> 6 THEN array_to_string(regexp_extract_all(s, '[0-9]+')[2:3], '-') END AS stamp,
+           CASE WHEN k % 8 IN (0, 1, 2, 5, 7) THEN array_to_string(list_transform(regexp_extract_all(s, '[0-9]+'), lambda x: CAST(CAST(x AS INT) % 100 AS VARCHAR)), '-') WHEN k % 8 <> 6 THEN regexp_replace(lower(s), '[^0-9a-z]', '', 'g') END AS grouping_form
     FROM p
     """,
 )
@@ -225,17 +229,17 @@ def _report_flatten(spark, sf, orders):
 @register(
     "report_flatten",
     """
-    WITH r AS (SELECT o_orderkey AS k, o_totalprice, o_orderpriority, o_orderstatus FROM orders WHERE o_orderkey % 7 <> 0),
+    WITH r AS (SELECT o_orderkey AS k, o_totalprice, o_orderpriority, o_orderstatus FROM orders),
          l AS (SELECT l_orderkey AS k, CAST(l_linenumber AS INT) AS i, min(l_partkey) AS part FROM lineitem GROUP BY 1, 2),
          t AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY i) - 1 AS i, part FROM l)
     SELECT k, 'document.status' AS field, CASE WHEN o_orderstatus = 'P' THEN 'illegible' ELSE 'present' END AS status, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS value, 1 AS dropped FROM r
     UNION ALL SELECT k, 'document.priority', CASE WHEN k % 3 = 0 THEN 'blank' ELSE 'present' END, CASE WHEN k % 3 <> 0 THEN o_orderpriority END, 1 FROM r
-    UNION ALL SELECT k, concat('parts[', i, '].key'), 'present', CAST(part AS VARCHAR), 1 FROM t WHERE k % 7 <> 0 AND k IN (SELECT k FROM r) AND k % 5 <> 0
+    UNION ALL SELECT k, concat('parts[', i, '].key'), 'present', CAST(part AS VARCHAR), 1 FROM t WHERE k IN (SELECT k FROM r) AND k % 5 <> 0
     """,
 )
 def report_flatten(spark, sf):
     """Nested reports as one row per dotted field; absence keeps no text, unknown keys are counted."""
-    return _report_flatten(spark, sf, table(spark, sf, "orders").where("o_orderkey % 7 <> 0"))
+    return _report_flatten(spark, sf, table(spark, sf, "orders"))
 
 
 @register(

@@ -27,12 +27,12 @@ def casing_order(spark, sf):
 
 _WORDS = """
 SELECT doc_id AS page, o AS ordinal, w, (o - 1) // 12 * 0.02::DOUBLE AS top, ((o - 1) % 12) * 0.08::DOUBLE + (length(w) % 4) * 0.005::DOUBLE AS "left", ((o - 1) % 12) * 0.08::DOUBLE + (length(w) % 4) * 0.005::DOUBLE + least(length(w), 9) * 0.006::DOUBLE AS "right"
-FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS o FROM documents WHERE n_chars < 2000)
+FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS o FROM documents)
 """
 
 
 def _words(spark, sf):
-    rows = table(spark, sf, "documents").where("n_chars < 2000").select(F.col("doc_id").alias("page"), F.posexplode(F.split("text", " ", -1)).alias("o", "w"))
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("page"), F.posexplode(F.split("text", " ", -1)).alias("o", "w"))
     n = F.length("w")
     left = (F.col("o") % 12) * 0.08 + (n % 4) * 0.005
     return rows.select("page", (F.col("o") + 1).cast("long").alias("ordinal"), "w", (F.floor(F.col("o") / 12) * 0.02).alias("top"), left.alias("left"), (left + F.least(n, F.lit(9)) * 0.006).alias("right"))
@@ -86,7 +86,7 @@ def ranked_faces(spark, sf):
 @register(
     "block_bounds",
     """
-    WITH a AS (SELECT p_partkey % 60 AS page, p_partkey AS id, (p_partkey * 29 % 97) / 100.0 AS t, p_size % 3 AS col FROM part WHERE p_size > 20),
+    WITH a AS (SELECT p_partkey % 60 AS page, p_partkey AS id, (p_partkey * 29 % 97) / 100.0 AS t, p_size % 3 AS col FROM part),
     n AS (SELECT a.page, a.id, a.t, a.col, (SELECT min(b.t) FROM a b WHERE b.page = a.page AND b.col = a.col AND b.t > a.t) AS below FROM a)
     SELECT page, id, round(t, 6) AS top, round(CASE WHEN below IS NOT NULL THEN least(below, t + 0.2) ELSE least(1.0, t + 0.1) END, 6) AS bottom,
            round(t + (id % 4) * (CASE WHEN below IS NOT NULL THEN least(below, t + 0.2) ELSE least(1.0, t + 0.1) END - t) / 4, 6) AS band_top FROM n
@@ -95,7 +95,7 @@ def ranked_faces(spark, sf):
 def block_bounds(spark, sf):
     """A block ends at the next heading below in its column, capped, with a default; and a row's even band."""
     k = F.col("p_partkey")
-    rows = table(spark, sf, "part").where("p_size > 20").select((k % 60).alias("page"), k.alias("id"), ((k * 29 % 97) / 100.0).alias("t"), (F.col("p_size") % 3).alias("col"))
+    rows = table(spark, sf, "part").select((k % 60).alias("page"), k.alias("id"), ((k * 29 % 97) / 100.0).alias("t"), (F.col("p_size") % 3).alias("col"))
     # the next larger top: a range frame by hundredths needs no pairs
     below = F.min("t").over(Window.partitionBy("page", "col").orderBy(F.bround(F.col("t") * 100).cast("int")).rangeBetween(1, Window.unboundedFollowing))
     rows = rows.withColumn("below", below).withColumn("bottom", F.coalesce(F.least(F.when(F.col("below").isNotNull(), F.col("below")), F.when(F.col("below").isNotNull(), F.col("t") + 0.2)), F.least(F.lit(1.0), F.col("t") + 0.1)))
@@ -131,9 +131,6 @@ def radius_neighbours(spark, sf):
     return W.neighbours_in_radius(marks, "page", "ordinal", 0.35).select("page", "ordinal", "near", ((F.col("near") == 0) & (F.col("area") < 3.0)).alias("kept"))
 
 
-_PAIRS = "SELECT a.vec_id, list_transform(a.embedding, lambda x: CAST(x AS DOUBLE)) AS u, list_transform(b.embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 5 = 0"
-
-
 _ALL_PAIRS = "SELECT a.vec_id, list_transform(a.embedding, lambda x: CAST(x AS DOUBLE)) AS u, list_transform(b.embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"
 
 
@@ -143,10 +140,6 @@ def _all_pairs(spark, sf):
     return rows.join(nxt, "vec_id")
 
 
-def _pairs(spark, sf):
-    return _all_pairs(spark, sf).where("vec_id % 5 = 0")
-
-
 def _best_shift(pairs):
     from ..operators.stats import correlation
 
@@ -166,14 +159,14 @@ def _best_transform(pairs):
 @register(
     "shift_correlation",
     f"""
-    WITH p AS ({_PAIRS}), s AS (SELECT vec_id, u, list_concat(v[len(v) - pmod + 1:len(v)], v[1:len(v) - pmod]) AS v, k FROM (SELECT *, (k + len(v)) % len(v) AS pmod FROM p, unnest([-3, -2, -1, 0, 1, 2, 3]) AS t(k))),
+    WITH p AS ({_ALL_PAIRS}), s AS (SELECT vec_id, u, list_concat(v[len(v) - pmod + 1:len(v)], v[1:len(v) - pmod]) AS v, k FROM (SELECT *, (k + len(v)) % len(v) AS pmod FROM p, unnest([-3, -2, -1, 0, 1, 2, 3]) AS t(k))),
     c AS (SELECT vec_id, k, corr(a, b) AS c FROM (SELECT vec_id, k, unnest(u) AS a, unnest(v) AS b FROM s) GROUP BY ALL)
     SELECT vec_id, round(max(c), 6) AS best FROM c GROUP BY vec_id
     """,
 )
 def shift_correlation(spark, sf):
     """The best correlation over bounded shifts."""
-    return _best_shift(_pairs(spark, sf))
+    return _best_shift(_all_pairs(spark, sf))
 
 
 @register(
@@ -192,7 +185,7 @@ def shift_correlation_whole(spark, sf):
 @register(
     "best_transform",
     f"""
-    WITH p AS ({_PAIRS}), h AS (SELECT vec_id, u, v, list_concat(v[len(v) // 2 + 1:len(v)], v[1:len(v) // 2]) AS w FROM p),
+    WITH p AS ({_ALL_PAIRS}), h AS (SELECT vec_id, u, v, list_concat(v[len(v) // 2 + 1:len(v)], v[1:len(v) // 2]) AS w FROM p),
     t AS (SELECT vec_id, u, 0 AS o, v AS x FROM h UNION ALL SELECT vec_id, u, 1, w FROM h UNION ALL SELECT vec_id, u, 2, list_reverse(v) FROM h UNION ALL SELECT vec_id, u, 3, list_reverse(w) FROM h),
     c AS (SELECT vec_id, o, round(corr(a, b), 6) AS c FROM (SELECT vec_id, o, unnest(u) AS a, unnest(x) AS b FROM t) GROUP BY ALL)
     SELECT vec_id, CASE o WHEN 0 THEN 'same' WHEN 1 THEN 'turned' WHEN 2 THEN 'mirrored' ELSE 'turned_mirrored' END AS transform, c AS score, c >= 0.3 AS clears
@@ -201,7 +194,7 @@ def shift_correlation_whole(spark, sf):
 )
 def best_transform(spark, sf):
     """The best of four transforms, the first on a tie, and whether it clears the threshold."""
-    return _best_transform(_pairs(spark, sf))
+    return _best_transform(_all_pairs(spark, sf))
 
 
 @register(
@@ -222,7 +215,7 @@ def best_transform_whole(spark, sf):
 @register(
     "profile_margin",
     f"""
-    WITH p AS ({_PAIRS}), h AS (SELECT vec_id, u, v, list_concat(v[len(v) // 2 + 1:len(v)], v[1:len(v) // 2]) AS w FROM p),
+    WITH p AS ({_ALL_PAIRS}), h AS (SELECT vec_id, u, v, list_concat(v[len(v) // 2 + 1:len(v)], v[1:len(v) // 2]) AS w FROM p),
     t AS (SELECT vec_id, u, 2 AS o, list_reverse(v) AS x FROM h UNION ALL SELECT vec_id, u, 3, list_reverse(w) FROM h UNION ALL SELECT vec_id, u, 0, v FROM h UNION ALL SELECT vec_id, u, 1, w FROM h),
     c AS (SELECT vec_id, o, corr(a, b) AS c FROM (SELECT vec_id, o, unnest(u) AS a, unnest(x) AS b FROM t) GROUP BY ALL)
     SELECT vec_id, round(max(c) FILTER (WHERE o >= 2) - max(c) FILTER (WHERE o < 2), 6) AS margin FROM c GROUP BY vec_id
@@ -231,7 +224,7 @@ def best_transform_whole(spark, sf):
 def profile_margin(spark, sf):
     """The real flips' best correlation less the controls'."""
     m = W.margin(F.col("u"), F.col("v"), ["mirrored", "turned_mirrored"], ["same", "turned"])
-    return _pairs(spark, sf).select("vec_id", F.round(m, 6).alias("margin"))
+    return _all_pairs(spark, sf).select("vec_id", F.round(m, 6).alias("margin"))
 
 
 @register(

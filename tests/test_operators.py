@@ -283,3 +283,16 @@ def test_streams_agree_with_their_batch_form(spark, tmp_path):
         q = ingest.resumed(ingest.read_events(spark, str(tmp_path / "in"), events.schema), str(tmp_path / "out"), ["event_id"]).option("checkpointLocation", str(tmp_path / f"r{n}")).trigger(availableNow=True).start()
         q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == events.count()
+
+
+def test_dates_and_field_values_at_their_edges(spark):
+    dates = {"1975-4-3": None, "1975-04-03": "1975-04-03", "9 / 22 / 77": None, "9.22.77": "1977-09-22", "1/2/30": "2030-01-02", "1/2/31": "1931-01-02", "1/2/0077": "0077-01-02", "1/2/977": "2877-01-02", "Sept. 4 1977": "1977-09-04", "Ma 4, 1977": None, "2/30/77": None}
+    df = spark.createDataFrame([(k,) for k in dates], "x string")
+    assert {r.x: r.d and str(r.d) for r in df.select("x", S.parse_date("x").alias("d")).collect()} == dates
+    values = {
+        ("district", "00"): "0", ("district", "03"): "3", ("date", "March 1990"): "march1990", ("date", "1977-09-22"): "77-9-22", ("date", "9/22/1977"): "9-22-77",
+        ("depth", "00450 ft"): "450", ("depth", "none"): None, ("lease", "N.A."): None, ("lease", "n/a"): None, ("lease", "No."): None, ("lease", "0"): None, ("lease", "Smith #1"): "smith1",
+        ("received_date", "AUG 18 2009"): "2009-08", ("received_date", "MAR 1990"): "1990-03", ("received_date", "stamp 8 09"): "8-09", ("received_date", "8"): None, ("lease", None): None,
+    }
+    rows = spark.createDataFrame(list(values), "f string, x string")
+    assert {(r.f, r.x): r.v for r in rows.select("f", "x", S.field_value("f", "x").alias("v")).collect()} == values
