@@ -64,22 +64,19 @@ def flatten_report(reports: DataFrame, key: str, body: str, groups: dict[str, li
     value = "struct<status:string,value:string>"
     known = F.array(*(F.lit(n) for n in (*groups, *tables)))
     dropped = F.size(F.array_except(F.coalesce(F.json_object_keys(body), F.array().cast("array<string>")), known))
-    base = reports.withColumn("_o", S.json_body(body)).where(F.col("_o").isNotNull()).withColumn("dropped", dropped)
-    out = None
-    for group, fields in groups.items():
-        got = F.from_json(F.get_json_object("_o", f"$.{group}"), ",".join(f"`{f}` {value}" for f in fields))
-        entries = F.array(*(F.struct(F.lit(f"{group}.{f}").alias("field"), got[f].alias("v")) for f in fields))
-        part = base.select(key, "dropped", F.inline(entries))
-        out = part if out is None else out.unionByName(part)
+    # each body is parsed once: groups as structs, tables as text, since a slot may hold a list, one row or neither
+    row = {n: "struct<" + ",".join(f"`{f}`:{value}" for f in fields) + ">" for n, fields in (groups | tables).items()}
+    shape = ",".join([*(f"`{n}` {row[n]}" for n in groups), *(f"`{n}` string" for n in tables)])
+    base = reports.withColumn("_o", S.json_body(body)).where(F.col("_o").isNotNull()).select(key, dropped.alias("dropped"), F.from_json("_o", shape).alias("_r"))
+    entry = lambda name, v: F.struct(name.alias("field"), v.alias("v"))
+    parts = [F.array(*(entry(F.lit(f"{group}.{f}"), F.col(f"_r.{group}.{f}")) for f in fields)) for group, fields in groups.items()]
     for name, fields in tables.items():
-        slot = F.trim(F.get_json_object("_o", f"$.{name}"))
-        row = "struct<" + ",".join(f"`{f}`:{value}" for f in fields) + ">"
+        slot = F.trim(F.col(f"_r.{name}"))
         # one row alone may stand for a list of one; a value in the table's place has no such columns
-        lone = F.array(F.from_json(slot, row))
-        rows = F.when(slot.startswith("["), F.from_json(slot, f"array<{row}>")).when(F.get_json_object(slot, f"$.{fields[0]}.status").isNotNull(), lone)
-        placed = base.select(key, "dropped", F.posexplode(rows).alias("i", "r"))
-        entries = F.array(*(F.struct(F.concat(F.lit(f"{name}["), F.col("i").cast("string"), F.lit(f"].{f}")).alias("field"), F.col("r")[f].alias("v")) for f in fields))
-        part = placed.select(key, "dropped", F.inline(entries))
-        out = part if out is None else out.unionByName(part)
+        lone = F.array(F.from_json(slot, row[name]))
+        rows = F.when(slot.startswith("["), F.from_json(slot, f"array<{row[name]}>")).when(F.get_json_object(slot, f"$.{fields[0]}.status").isNotNull(), lone)
+        place = lambda i, f: F.concat(F.lit(f"{name}["), i.cast("string"), F.lit(f"].{f}"))  # noqa: B023, E731
+        parts.append(F.coalesce(F.flatten(F.transform(rows, lambda r, i: F.array(*(entry(place(i, f), r[f]) for f in fields)))), F.array().cast(f"array<struct<field:string,v:{value}>>")))
+    out = base.select(key, "dropped", F.inline(F.concat(*parts)))
     status = F.when(F.col("v.status").isin(*STATUSES), F.col("v.status")).otherwise("missing")
     return out.select(key, "field", status.alias("status"), F.when(status == "present", S.clean("v.value")).alias("value"), "dropped")

@@ -26,8 +26,8 @@ def documents(spark, sf):
     lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"))).alias("lines"))
     lines = lines.select(
         "doc_id",
-        F.transform("lines", lambda x: F.when(x["l_partkey"] % 5 != 0, x["l_quantity"])).alias("casing"),
-        F.transform("lines", lambda x: F.struct((x["l_partkey"] % 500).alias("from"), (x["l_suppkey"] % 480 + 20).alias("to"))).alias("intervals"),
+        F.transform("lines", lambda x: F.when(x["l_partkey"] % 5 != 0, x["l_quantity"] * 21)).alias("casing"),
+        F.transform("lines", lambda x: F.struct((x["l_partkey"] % 500).alias("from"), (x["l_suppkey"] % 480 + 20 + F.when(x["l_partkey"] % 11 == 0, 1000).otherwise(0)).alias("to"))).alias("intervals"),
     )
     cell = F.transform(F.sequence(F.lit(0), (k % 4).cast("int")), lambda i: F.struct((i * 0.1 + F.when(k % 5 == 0, i * 0.02).otherwise(0.0)).alias("l"), F.lit(0.2).alias("t"), (i * 0.1 + 0.1).alias("r"), F.lit(0.3).alias("b")))
     docs = orders.select(
@@ -45,15 +45,13 @@ def documents(spark, sf):
         (k % 100 + 1000.0).alias("total_depth"),
         F.when(k % 6 != 0, k % 103 + 1000.0).alias("plug_back"),
         (k % 250 + 900.0).alias("pay_bottom"),
-        F.lit(None).cast("double").alias("casing_depth"),
-        F.when(k % 4 == 0, 1090.0).alias("tubing_depth"),
-        (k % 110 + 1000.0).alias("packer"),
+        F.transform(F.array(F.lit(0), F.lit(1)), lambda i: F.struct((F.when(k % 4 == 0, 1090.0) - i * 40).alias("depth"), (k % 110 + 1000.0 - i * 15).alias("packer"))).alias("tubing"),
         cell.alias("boxes"),
     )
     return docs.join(lines, "doc_id", "left")
 
 
-_LINES = "SELECT l_orderkey AS k, row_number() OVER w - 1 AS i, CASE WHEN l_partkey % 5 <> 0 THEN l_quantity END AS depth, l_partkey % 500 AS f, l_suppkey % 480 + 20 AS t FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity)"
+_LINES = "SELECT l_orderkey AS k, row_number() OVER w - 1 AS i, CASE WHEN l_partkey % 5 <> 0 THEN l_quantity * 21 END AS depth, l_partkey % 500 AS f, l_suppkey % 480 + 20 + CASE WHEN l_partkey % 11 = 0 THEN 1000 ELSE 0 END AS t FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity)"
 
 _SQL = {
     "api.structure": f"{_DOCS} SELECT k AS doc_id, 'api' AS fields FROM q WHERE k % 12 = 0",
@@ -65,9 +63,11 @@ _SQL = {
     "date.drilling_commenced_before_drilling_completed": f"{_DOCS} SELECT k AS doc_id, 'commenced,drilled' AS fields FROM q WHERE commenced > drilled",
     "date.completed_before_started": f"{_DOCS} SELECT k AS doc_id, 'commenced,completion' AS fields FROM q WHERE commenced > completion",
     "date.test_before_completion": f"{_DOCS} SELECT k AS doc_id, 'test,completion' AS fields FROM q WHERE test < completion",
-    "depth.below_total": f"{_DOCS} SELECT k AS doc_id, concat(f, ',total_depth') AS fields FROM (SELECT k, total_depth, unnest(['plug_back', 'pay_bottom', 'tubing_depth']) AS f, unnest([plug_back, pay_bottom, tubing_depth]) AS v FROM q) WHERE v > total_depth",
+    "depth.below_total": f"{_DOCS}, l AS ({_LINES}), v AS (SELECT k, unnest(['plug_back', 'pay_bottom', 'tubing[0].depth', 'tubing[1].depth']) AS f, unnest([plug_back, pay_bottom, tubing_depth, tubing_depth - 40]) AS v FROM q"
+    " UNION ALL SELECT k, concat('casing[', i, ']'), depth FROM l UNION ALL SELECT k, concat('intervals[', i, '].to'), t FROM l)"
+    " SELECT k AS doc_id, concat(f, ',total_depth') AS fields FROM v JOIN q USING (k) WHERE v > total_depth",
     "depth.casing_order": f"{_DOCS}, l AS ({_LINES}), p AS (SELECT *, last(depth IGNORE NULLS) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM l) SELECT k AS doc_id, concat('casing[', i, ']') AS fields FROM p WHERE depth < before AND k IN (SELECT k FROM q)",
-    "depth.packer_below_tubing": f"{_DOCS} SELECT k AS doc_id, 'packer,tubing_depth' AS fields FROM q WHERE packer > tubing_depth",
+    "depth.packer_below_tubing": f"{_DOCS} SELECT k AS doc_id, concat('tubing[', i, '].packer,tubing[', i, '].depth') AS fields FROM q, unnest([0, 1]) AS u(i) WHERE packer - i * 15 > tubing_depth - i * 40",
     "depth.interval_inverted": f"{_DOCS}, l AS ({_LINES}) SELECT k AS doc_id, concat('intervals[', i, ']') AS fields FROM l WHERE f > t AND k IN (SELECT k FROM q)",
     "geometry.schematic_grid": f"{_DOCS} SELECT k AS doc_id, 'boxes' AS fields FROM q WHERE k % 4 >= 2 AND k % 5 <> 0",
 }
@@ -75,8 +75,8 @@ _SQL = {
 
 def _one(name: str):
     def query(spark, sf):
-        found = rules.RULES[name][1](documents(spark, sf))
-        return found.select("doc_id", F.concat_ws(",", "fields").alias("fields"), F.lit(name).alias("rule"), F.lit(rules.RULES[name][0]).alias("severity"))
+        found = rules.findings(documents(spark, sf), [name])
+        return found.select("doc_id", F.concat_ws(",", "fields").alias("fields"), "rule", "severity")
 
     query.__doc__ = f"2.11: {name}"
     return query
