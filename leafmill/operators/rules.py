@@ -31,6 +31,11 @@ def rule(name: str, severity: str):
     return keep
 
 
+def _api(part: str) -> Column:
+    """A part of the number, parsed once a document."""
+    return F.col("_api")[part]
+
+
 def _when(broken: Column, *fields: str) -> Column:
     return F.when(broken, F.array(F.array(*map(F.lit, fields))))
 
@@ -55,34 +60,34 @@ def _all(*found: Column) -> Column:
 
 @rule("api.structure", "error")
 def api_structure():
-    return _when(F.col("api").isNotNull() & S.parse_api("api").isNull(), "api")
+    return _when(F.col("api").isNotNull() & F.col("_api").isNull(), "api")
 
 
 @rule("api.state", "error")
 def api_state():
-    return _when(S.parse_api("api")["state"] != STATE, "api")
+    return _when(_api("state") != STATE, "api")
 
 
 def learned_counties(docs: DataFrame) -> DataFrame:
-    """A3: the county code of each county name, where all documents have the same."""
-    rows = docs.select("county", S.parse_api("api")["county"].alias("code"), S.parse_api("api")["state"].alias("state")).where(F.col("county").isNotNull() & F.col("code").isNotNull() & (F.col("state") == STATE))
+    """A3: the county code of each county name, where all documents have the same; ``docs`` with the parsed number ``_api``."""
+    rows = docs.select("county", _api("county").alias("code"), _api("state").alias("state")).where(F.col("county").isNotNull() & F.col("code").isNotNull() & (F.col("state") == STATE))
     return stats.learned_map(rows, "county", "code")
 
 
 @rule(LEARNED, "error")
 def api_county_prefix():
-    return _when((S.parse_api("api")["state"] == STATE) & (S.parse_api("api")["county"] != F.col("_learned_code")), "api", "county")
+    return _when((_api("state") == STATE) & (_api("county") != F.col("_learned_code")), "api", "county")
 
 
 @rule("api.index_county", "error")
 def api_index_county():
-    return _when(S.parse_api("api")["county"] != F.col("index_county"), "api")
+    return _when(_api("county") != F.col("index_county"), "api")
 
 
 @rule("api.index_unique", "warning")
 def api_index_unique():
     bare = lambda c: F.regexp_replace(c, "^0+", "")
-    return _when(bare(S.parse_api("api")["number"]) != bare(F.col("index_number")), "api")
+    return _when(bare(_api("number")) != bare(F.col("index_number")), "api")
 
 
 @rule("date.date_permit_issued_before_drilling_commenced", "error")
@@ -156,6 +161,7 @@ def findings(docs: DataFrame, rules: list[str] | None = None) -> DataFrame:
     marked by a column ``learn``, so that a corpus may leave known faults out.
     """
     names = list(rules or RULES)
+    docs = docs.withColumn("_api", S.parse_api("api"))
     if LEARNED in names:
         learned = learned_counties(docs.where("learn") if "learn" in docs.columns else docs)
         docs = docs.join(learned.withColumnRenamed("code", "_learned_code"), "county", "left")
