@@ -50,7 +50,7 @@ def alias_expand(spark, sf):
 @register(
     "label_clusters",
     """
-    WITH a AS (SELECT p_partkey % 12 AS label, concat('t', p_size % 6) AS token, p_partkey AS id, (p_partkey * p_partkey * 37 % 97) / 100.0 AS y, (p_partkey * 53 % 89) / 900.0 AS x FROM part),
+    WITH a AS (SELECT p_partkey % 12 AS label, concat('t', least(CASE WHEN p_partkey % 4 = 0 THEN p_size % 3 ELSE p_size % 8 END, p_partkey % 7)) AS token, p_partkey AS id, (p_partkey % 7) / 10.0 + (p_partkey % 3) / 100.0 AS y, (p_partkey * 53 % 89) / 900.0 AS x FROM part),
     g AS (SELECT *, CASE WHEN y - lag(y) OVER (PARTITION BY label ORDER BY y, token) > 0.03 THEN 1 ELSE 0 END AS new FROM a),
     r AS (SELECT *, sum(new) OVER (PARTITION BY label ORDER BY y, token ROWS UNBOUNDED PRECEDING) AS run FROM g),
     c AS (SELECT label, run, count(DISTINCT token) AS tokens, min(y) AS top, max(y) AS bottom FROM r GROUP BY 1, 2 HAVING max(x) - min(x) <= 0.25),
@@ -61,7 +61,9 @@ def alias_expand(spark, sf):
 def label_clusters(spark, sf):
     """The cluster with most of a label's tokens; none on a tie."""
     k = F.col("p_partkey")
-    rows = table(spark, sf, "part").select((k % 12).alias("label"), F.concat(F.lit("t"), (F.col("p_size") % 6).cast("string")).alias("token"), ((k * k * 37 % 97) / 100.0).alias("y"), ((k * 53 % 89) / 900.0).alias("x"))
+    # seven runs a label, the last with most tokens; every fourth label has runs that tie
+    token = F.least(F.when(k % 4 == 0, F.col("p_size") % 3).otherwise(F.col("p_size") % 8), k % 7)
+    rows = table(spark, sf, "part").select((k % 12).alias("label"), F.concat(F.lit("t"), token.cast("string")).alias("token"), (k % 7 / 10.0 + k % 3 / 100.0).alias("y"), ((k * 53 % 89) / 900.0).alias("x"))
     return overlays.label_cluster(rows, "label", 0.03, 0.25).select("label", "tokens", F.round("top", 6).alias("top"), F.round("bottom", 6).alias("bottom"))
 
 
@@ -78,11 +80,11 @@ def family_vote(spark, sf):
     k = F.col("c_custkey")
     part = F.when(k % 5 == 0, "face").when(k % 5 == 1, "sec_ii").when(k % 5 == 2, "sec_iii").when(k % 5 == 3, "back")
     pick = k % 7
-    labels = F.when(pick == 0, F.array(F.lit("19. Notice of Intention"), F.lit("4 Lease"))).when(pick == 1, F.array(F.lit("24 Location of Well"))).when(pick == 2, F.array(F.lit("31. LOCATION OF WELL"), F.lit("26 Notice of intention to drill")))
+    labels = F.when(pick == 0, F.array(F.lit("19. Notice of Intention"), F.lit("4 Lease"))).when(pick == 1, F.array(F.lit("24 Location of Well"))).when(pick == 2, F.array(F.lit("31. LOCATION OF THE WELL"), F.lit("26 Notice of intention to drill")))
     labels = labels.when(pick == 3, F.array(F.lit("19. Notice of Intention"), F.lit("32 Location of well"))).when(pick == 5, F.array(F.lit("1. Operator"), F.lit("24 Location of Well name"))).otherwise(F.array(F.lit("7. Total depth")))
     # a label of the face on the page keeps it from being a back page, whatever else it cites
     labels = F.when(pick == 5, F.array(F.lit("1. Operator"), F.lit("7 county"))).otherwise(labels)
-    back = overlays.looks_back(labels, ["operator"], ["notice of intention", "location of well"])
+    back = overlays.looks_back(labels, ["operator"], ["notice of intention", "location of well", "location of the well"])
     return table(spark, sf, "customer").select(k.alias("k"), overlays.family(part, labels, F.lit("g1")).alias("family"), back.alias("looks_back"))
 
 
