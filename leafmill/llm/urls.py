@@ -33,7 +33,7 @@ TOPICS = (
     "keygen loans malware nude payday pharmacy phishing pills poker porn roulette sex sexy slots spam spyware torrent "
     "torrents track tracker tracking viagra warez win xxx"
 ).split()
-#: Bounds of the models: words with counts for splitting, tokens with counts for scoring.
+#: Bounds of the models: words with counts for splitting, tokens with counts for scoring, those of topics first.
 WORDS, TOKENS, LONGEST, CACHE = 30_000, 50_000, 20, 200_000
 
 
@@ -148,7 +148,7 @@ def fit(pages: DataFrame, url_col: str, html_col: str) -> tuple[dict[str, int],
         yield out()
 
     seen = parts.mapInArrow(run, "token string, blocked long, allowed long").groupBy("token").agg(F.sum("blocked").alias("b"), F.sum("allowed").alias("a"))
-    rows = seen.orderBy(F.length("token") > 0, (F.col("a") + F.col("b")).desc(), "token").limit(TOKENS).collect()
+    rows = seen.orderBy(F.length("token") > 0, ~F.substring("token", 3, LONGEST).isin(*TOPICS), (F.col("a") + F.col("b")).desc(), "token").limit(TOKENS).collect()
     found = {r.token: (r.b, r.a) for r in rows}
     return counts, Bayes({t: c for t, c in found.items() if t}, found.get("", (0, 0)))
 

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -411,3 +412,63 @@ def test_urls_of_the_table(spark, sf):
 def test_names_are_split_into_words():
     split = urls.Splitter({"free": 50, "casino": 20, "bets": 20, "be": 60, "a": 90, "in": 80}).split
     assert split("freecasinobets") == ["free", "casino", "bets"] and split("") == [] and "".join(split("zqxfree")) == "zqxfree"
+
+
+def cheapest_split(name, counts):
+    """Every way to cut the name, priced by the definition."""
+    total = sum(counts.values()) + 1
+    price = lambda w: math.log(total / counts[w]) if w in counts else (math.log(total) + 2) * len(w)
+    ways = [[name[i:j] for i, j in zip((0, *cut), (*cut, len(name)), strict=True)] for n in range(len(name)) for cut in itertools.combinations(range(1, len(name)), n)]
+    return min(sum(map(price, way)) for way in ways), price
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("abc", min_size=1, max_size=9), st.dictionaries(st.text("abc", min_size=1, max_size=4), st.integers(1, 50), max_size=8))
+def test_viterbi_finds_the_cheapest_of_all_splits(name, counts):
+    least, price = cheapest_split(name, counts)
+    got = urls.Splitter(counts).split(name)
+    assert "".join(got) == name and sum(map(price, got)) == pytest.approx(least)
+
+
+def test_verdicts_by_a_plain_naive_bayes(spark, sf):
+    """Counts of all pages gathered in plain loops, multinomial Bayes by its formula, on every url of the table."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    rows = {r.page_id: r for r in urls.judge_urls(pages).collect()}
+    parts = {r.page_id: (r.host, r.path) for r in rows.values()}
+    host, path = urls.url_parts(pages.url)
+    splitter = urls.Splitter(urls.word_counts(pages, pages.select(host.alias("host"), path.alias("path")), "html"))
+    found = {k: urls.tokens(*p, splitter) for k, p in parts.items()}
+    bad = {k for k, t in found.items() if any(x[2:] in urls.TOPICS for x in t)}
+    classes = [Counter(x for k, t in found.items() if (k in bad) == side for x in t) for side in (True, False)]
+    kinds = set(classes[0]) | set(classes[1])
+    size = len(kinds) + 1
+    seen = [len(bad), sum(bool(t) for t in found.values()) - len(bad)]
+    for k, t in found.items():
+        logs = [math.log(seen[c] + 1) + sum(math.log((classes[c][x] + 1) / (sum(classes[c].values()) + size)) for x in t) for c in (0, 1)]
+        if t:
+            assert rows[k].score == pytest.approx(logs[0] - logs[1], abs=1e-6)
+            assert rows[k].rule is not None or rows[k].verdict == ("block" if logs[0] > logs[1] else "allow")
+        else:
+            assert rows[k].score is None and (rows[k].rule is not None or rows[k].verdict == "allow")
+
+
+def test_quality_by_a_plain_discriminant():
+    """Two shrunk Gaussians with full inverses and determinants, in place of sums and Cholesky factors."""
+    rng = np.random.default_rng(5)
+    p = len(quality.NAMES)
+    x = {0: rng.normal(size=(300, p)) @ rng.normal(size=(p, p)), 1: rng.normal(size=(200, p)) @ rng.normal(size=(p, p)) + 0.7}
+    model = quality.Discriminant({k: (len(v), v.sum(axis=0), v.T @ v) for k, v in x.items()})
+    every = np.vstack([x[0], x[1]])
+    z = {k: (v - every.mean(axis=0)) / every.std(axis=0) for k, v in x.items()}
+    cov = {k: np.cov(v.T, bias=True) for k, v in z.items()}
+    pooled = (300 * cov[0] + 200 * cov[1]) / 500
+    density = {}
+    probe = rng.normal(size=(50, p)) * every.std(axis=0)
+    y = (probe - every.mean(axis=0)) / every.std(axis=0)
+    for k, n in ((0, 300), (1, 200)):
+        c = 0.8 * cov[k] + 0.2 * pooled
+        c = 0.95 * c + 0.05 * (np.trace(c) / p + 1e-6) * np.eye(p)
+        d = y - z[k].mean(axis=0)
+        density[k] = -0.5 * np.einsum("ij,jk,ik->i", d, np.linalg.inv(c), d) - 0.5 * np.linalg.slogdet(c)[1] + math.log(n / 500)
+    want = 1 / (1 + np.exp(-np.clip(density[1] - density[0], -30, 30)))
+    assert np.allclose(model.scores(probe), want, atol=1e-7)
