@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import forms
+from ..sources import images
 from ..sources.scans import table
 from .catalogue import register
 
@@ -45,52 +46,126 @@ def link_tokens(spark, sf):
     return found.groupBy("token").agg(F.countDistinct("page_id").alias("pages"), F.count(F.lit(1)).alias("links"))
 
 
-_HEADERS = """
-SELECT p_partkey AS k, CASE p_partkey % 6
-         WHEN 0 THEN concat('FORM W-', p_size, ' WELL RECORD ', p_brand)
-         WHEN 1 THEN concat('see Form W-', p_size, ', G-', p_size % 7, ' and ', p_brand)
-         WHEN 2 THEN concat('Form G-', p_size, ' refer to Form W-3, W-15')
-         WHEN 3 THEN concat(p_name, ' COMPLETION REPORT')
-         WHEN 4 THEN concat('W-', p_size, ' G-1')
-         ELSE concat('per FORM G-', p_size) END AS header FROM part
-"""
-
-
 @register(
     "header_region_tokens",
-    f"""
-    WITH h AS ({_HEADERS}), u AS (SELECT k, upper(left(header, 800)) AS u FROM h),
-         -- a marker starts a run of references; a run goes on over separators
-         m AS (SELECT k, u, regexp_replace(u, '(SEE|PER|REFER TO)( FORM)? ([WG]-[0-9]+((, | AND )(FORM )?[WG]-[0-9]+)*)', '', 'g') AS own FROM u)
-    SELECT k, array_to_string(list_sort(list_distinct(regexp_extract_all(u, '[WG]-[0-9]+'))), ' ') AS every_token,
-           array_to_string(list_sort(list_distinct(regexp_extract_all(own, '[WG]-[0-9]+'))), ' ') AS own_tokens,
-           CASE WHEN regexp_matches(u, 'COMPLETION|WELL RECORD') THEN 'completion' WHEN len(regexp_extract_all(own, '(?:W-2|G-1)')) > 0 THEN 'report' END AS stratum
-    FROM m
+    # what each kind of header says, written down kind by kind: this engine's patterns have no lookahead
+    """
+    WITH h AS (SELECT p_partkey AS k, p_partkey % 11 AS kind, p_size AS n, p_size % 7 AS m FROM part),
+    t AS (SELECT k, kind, n, CASE kind WHEN 0 THEN [concat('W-', n)] WHEN 1 THEN [concat('P-', n)] WHEN 2 THEN ['FORM 3'] WHEN 4 THEN [concat('W-', n, 'A')] WHEN 5 THEN ['GWT-1'] WHEN 7 THEN ['G-1'] WHEN 9 THEN ['SW-1', 'W-1A']
+                        ELSE [] END AS own FROM h)
+    SELECT k, array_to_string(list_sort(own), ' ') AS own_tokens,
+           CASE kind WHEN 0 THEN CASE WHEN n = 2 THEN 'w2' WHEN n IN (1, 3, 12, 15) THEN concat('w', n) WHEN n IN (4, 5, 6) THEN 'w4_family' END WHEN 1 THEN CASE WHEN n IN (4, 5, 12, 15, 17) THEN concat('p', n) END
+                WHEN 2 THEN 'completion_face_legacy' WHEN 4 THEN CASE n WHEN 1 THEN 'w1' WHEN 4 THEN 'w4_family' END WHEN 5 THEN 'completion_face_legacy' WHEN 7 THEN 'g1' WHEN 9 THEN 'ws1_sw1' END AS first_class,
+           CASE WHEN kind = 5 THEN 'A_revision_legible' WHEN kind = 7 OR (kind = 0 AND n = 2) THEN 'B_form_number_legible' ELSE 'C_neither' END AS legibility
+    FROM t
     """,
 )
 def header_region_tokens(spark, sf):
-    """Form tokens of a header; those of a run of cross-references aren't the page's own."""
-    headers = spark_headers(table(spark, sf, "part"))
-    found = headers.withColumn("u", F.upper(F.substring("header", 1, 800)))
-    own = forms.own_tokens("u")
-    stratum = F.when(F.col("u").rlike("COMPLETION|WELL RECORD"), "completion").when(F.exists(own, lambda t: t.startswith("W-2") | t.startswith("G-1")), "report")
-    every = F.regexp_extract_all("u", F.lit(forms.TOKEN), F.lit(0))
-    return found.select("k", F.array_join(F.array_sort(F.array_distinct(every)), " ").alias("every_token"), F.array_join(F.array_sort(F.array_distinct(own)), " ").alias("own_tokens"), stratum.alias("stratum"))
-
-
-def spark_headers(part):
-    n, b = F.col("p_size").cast("string"), F.col("p_brand")
-    seven = (F.col("p_size") % 7).cast("string")
-    kind = F.col("p_partkey") % 6
+    """A page's own form numbers, in lists of references and out, the class of the first, and what the header shows."""
+    headers = _headers(table(spark, sf, "part")).withColumn("own", forms.header_tokens("header"))
+    return headers.select("k", F.array_join(F.array_sort("own"), " ").alias("own_tokens"), forms.token_class(F.get("own", F.lit(0))).alias("first_class"), forms.legibility(F.col("header"), F.col("own")).alias("legibility"))
+
+
+def _headers(part):
+    n, kind = F.col("p_size").cast("string"), F.col("p_partkey") % 11
     text = (
-        F.when(kind == 0, F.concat(F.lit("FORM W-"), n, F.lit(" WELL RECORD "), b))
-        .when(kind == 1, F.concat(F.lit("see Form W-"), n, F.lit(", G-"), seven, F.lit(" and "), b))
-        .when(kind == 2, F.concat(F.lit("Form G-"), n, F.lit(" refer to Form W-3, W-15")))
-        .when(kind == 3, F.concat("p_name", F.lit(" COMPLETION REPORT")))
-        .when(kind == 4, F.concat(F.lit("W-"), n, F.lit(" G-1")))
-        .otherwise(F.concat(F.lit("per FORM G-"), n))
+        F.when(kind == 0, F.concat(F.lit("RAILROAD COMMISSION OIL AND GAS DIVISION FORM W-"), n, F.lit(" WELL RECORD")))
+        .when(kind == 1, F.concat(F.lit("filed with Forms W-2, G-1, and GT-1 for wells P-"), n))
+        .when(kind == 2, "Form 3 POTENTIAL TEST")
+        .when(kind == 3, "FORM 12-4 COMPLETION REPORT")
+        .when(kind == 4, F.concat(F.lit("SURVEY A-38 W-"), n, F.lit("A")))
+        .when(kind == 5, "WWW-1 APR-23 FORM GWT-1 Rev. 6-1-54")
+        .when(kind == 6, F.concat(F.lit("copy of RRC Form G-5 shown on W-"), n))
+        .when(kind == 7, "see W-2 A-12, G-1")
+        .when(kind == 8, F.concat("p_name", F.lit(" REPORT")))
+        .when(kind == 9, "SW-1 W-1A\npursuant to Form P-4")
+        .otherwise(F.concat(F.repeat(F.lit("x "), 200), F.lit("W-2")))
     )
-    return part.select(F.col("p_partkey").alias("k"), text.alias("header"))
+    return part.select(F.col("p_partkey").alias("k"), "p_size", text.alias("header"))
+
+
+@register(
+    "page_strata",
+    """
+    WITH p AS (SELECT p_partkey AS k, CASE p_partkey % 7 WHEN 0 THEN 'g1' WHEN 1 THEN 'w2' WHEN 2 THEN 'w15' WHEN 3 THEN 'other_form' WHEN 4 THEN 'plat_map' WHEN 5 THEN 'g1' ELSE 'w2' END AS cls, p_partkey % 5 AS part, p_size AS n FROM part)
+    SELECT k, CASE WHEN n % 10 = 0 THEN 'I_parse_failure' WHEN n % 10 = 9 THEN 'H_oversize' WHEN cls IN ('g1', 'w2') AND part NOT IN (0, 1) THEN 'F_completion_non_face' WHEN cls = 'g1' AND n % 4 = 0 THEN 'B_g1_face_ocr_g1' WHEN cls = 'g1' THEN 'A_g1_face_ocr_silent'
+           WHEN cls = 'w2' AND n % 4 = 1 THEN 'E_w2_face_ocr_w2' WHEN cls = 'w2' AND n % 4 = 2 THEN 'D_w2_face_ocr_w15' WHEN cls = 'w2' THEN 'C_w2_face_ocr_silent' WHEN cls = 'w15' AND part IN (0, 1) THEN 'G_confusable_not_completion'
+           WHEN cls = 'other_form' AND part <> 3 THEN 'G_confusable_not_completion' END AS stratum,
+           cls IN ('g1', 'w2') AND n % 10 <> 9 AND part <> 3 AND part <> 4 AS eligible
+    FROM p
+    """,
+)
+def page_strata(spark, sf):
+    """Strata by fixed precedence, and pages to extract from."""
+    k, n = F.col("p_partkey"), F.col("p_size")
+    pick = lambda i, *names: F.get(F.array(*map(F.lit, names)), i.cast("int"))
+    cls = pick(k % 7, "g1", "w2", "w15", "other_form", "plat_map", "g1", "w2")
+    part = pick(k % 5, "face", "face", "sec_ii", "back_instructions", "unknown")
+    tokens = F.when(n % 4 == 0, F.array(F.lit("G-1"))).when(n % 4 == 1, F.array(F.lit("W-15"), F.lit("W-2"))).when(n % 4 == 2, F.array(F.lit("W-15"))).otherwise(F.array().cast("array<string>"))
+    large = n % 10 == 9
+    return table(spark, sf, "part").select(k.alias("k"), forms.stratum(cls, part, large, n % 10 == 0, tokens).alias("stratum"), images.eligible(cls, part, large).alias("eligible"))
+
+
+@register(
+    "word_boxes",
+    """
+    WITH c AS (SELECT c_custkey AS k, c_nationkey AS x, unnest(string_split(c_name, '#')) AS text, generate_subscripts(string_split(c_name, '#'), 1) - 1 AS n FROM customer WHERE c_custkey % 9 <> 0)
+    SELECT k, CAST(n AS INT) AS n, text, (x + 10 * n) / 612.0 AS l, 20.5 / 792.0 AS t, (x + 10 * n + 8.25) / 612.0 AS r, 30.0 / 792.0 AS b FROM c
+    """,
+)
+def word_boxes(spark, sf):
+    """Words with boxes out of a page's markup; a page without a size has none."""
+    part = lambda w, i: F.concat(F.lit('<word xMin="'), (F.col("c_nationkey") + 10 * i).cast("string"), F.lit('" yMin="20.5" xMax="'), (F.col("c_nationkey") + 10 * i + 8.25).cast("string"), F.lit('" yMax="30.0">'), w, F.lit("</word>\n"))
+    size = F.when(F.col("c_custkey") % 9 == 0, "<page>\n").otherwise('<page width="612" height="792">\n')
+    pages = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.concat(size, F.array_join(F.transform(F.split("c_name", "#"), part), ""), F.lit("</page>")).alias("markup"))
+    return images.word_boxes(pages, "k", "markup").select("k", "n", "text", *(F.col(f"box.{s}").alias(s) for s in "ltrb"))
+
+
+@register(
+    "report_regions",
+    """
+    WITH p AS (SELECT p_partkey AS k, p_size AS n, p_partkey % 6 AS kind FROM part)
+    SELECT k, 'well.depth' AS field, CASE WHEN kind IN (4, 5) THEN CASE kind WHEN 4 THEN 'blank' ELSE 'missing' END ELSE 'present' END AS status, CASE WHEN kind < 4 THEN CAST(n AS VARCHAR) END AS value, CASE WHEN k % 4 = 0 THEN 2 ELSE 0 END AS dropped,
+           CASE WHEN kind = 5 THEN 'unknown status' END AS error, CASE WHEN kind = 0 THEN CASE n % 3 WHEN 1 THEN 9 WHEN 2 THEN 10 ELSE 9 END WHEN kind = 3 THEN 9 END AS page, CASE WHEN kind IN (0, 3) THEN 0.25 END AS t
+    FROM p
+    """,
+)
+def report_regions(spark, sf):
+    """Page numbers of an answer as pages of the file, boxes without an extent as none, unknown keys counted at both levels."""
+    k, n = F.col("p_partkey"), F.col("p_size").cast("string")
+    kind = k % 6
+    status = F.when(kind == 4, "blank").when(kind == 5, "odd").otherwise("present")
+    # kind 0 has a page number (0: no such page), 1 a box without height, 2 one of three numbers, 3 no page number
+    place = F.when(kind == 0, F.concat(F.lit(', "page": '), (F.col("p_size") % 3).cast("string"), F.lit(', "box": [0.1, 0.25, 0.5, 0.75]'))).when(kind == 1, ', "page": 1, "box": [0.1, 0.25, 0.5, 0.25]').when(kind == 2, ', "box": [0.1, 0.25, 0.5]').otherwise(', "box": ["0.1", 0.25, 0.5, 0.3]')
+    stray = F.when(k % 4 == 0, ', "odd": {}').otherwise("")
+    body = F.concat(F.lit('{"well": {"depth": {"status": "'), status, F.lit('", "value": " '), n, F.lit(' "'), place, F.lit("}"), stray, F.lit("}"), stray, F.lit("}"))
+    reports = table(spark, sf, "part").select(k.alias("k"), body.alias("body"), F.array(F.lit(9), F.lit(10)).alias("pages"))
+    out = forms.flatten_report(reports, "k", "body", {"well": ["depth"]}, {}, "pages")
+    return out.select("k", "field", "status", "value", "dropped", "error", F.col("region.page").alias("page"), F.col("region.box.t").alias("t"))
+
+
+@register(
+    "identity_reads",
+    """
+    WITH c AS (SELECT c_custkey AS k, c_custkey % 5 AS kind, c_name AS name FROM customer),
+    f AS (SELECT k, kind, name, unnest(['lease_name', 'well_number']) AS field FROM c),
+    r AS (SELECT *, CASE WHEN field = 'well_number' THEN 'not_on_this_form' WHEN kind = 1 THEN 'illegible' WHEN kind = 2 THEN 'blank' WHEN kind = 3 THEN NULL ELSE 'present' END AS status FROM f)
+    SELECT k, field, status, CASE WHEN status = 'present' THEN name END AS raw, CASE WHEN status = 'present' THEN 'box 3' END AS found_in, coalesce(status = 'present', false) AS located, CASE WHEN status IS NULL THEN 'unknown status' END AS error,
+           CASE WHEN kind = 4 THEN 'Austin 1-2-60' ELSE '' END AS stamps
+    FROM r
+    """,
+)
+def identity_reads(spark, sf):
+    """Identity answers: present without a reading is illegible, absent ones keep no text, stamps need office and date."""
+    k = F.col("c_custkey")
+    kind = k % 5
+    status = F.when(kind == 2, "blank").when(kind == 3, "odd").otherwise(" present ")
+    entry = F.struct(status.alias("status"), F.when(kind == 1, "").otherwise(F.col("c_name")).alias("raw"), F.lit(" box 3 ").alias("found_in"))
+    mark = lambda office, date: F.struct(F.lit(office).alias("office"), F.lit(date).alias("date"))
+    body = F.to_json(F.struct(entry.alias("lease_name"), F.when(kind == 4, F.array(mark(" Austin", "1-2-60 "), mark("Midland", ""), mark(None, "1-2-60"))).alias("received_stamps")))
+    reads = table(spark, sf, "customer").select(k.alias("k"), body.alias("body"))
+    marks = reads.select("k", F.array_join(F.transform(forms.stamps("body"), lambda s: F.concat_ws(" ", s["office"], s["date"])), "; ").alias("stamps"))
+    return forms.identity(reads, "k", "body", ["lease_name", "well_number"]).join(marks, "k")
 
 
 @register(
@@ -192,23 +267,25 @@ def parse_api_codes(spark, sf):
 @register(
     "strict_json_labels",
     """
-    WITH b AS (SELECT o_orderkey AS k, o_orderkey % 9 AS fault, CASE o_orderkey % 4 WHEN 0 THEN 'g1' WHEN 1 THEN 'w2' WHEN 2 THEN 'other_form' ELSE 'correspondence' END AS cls, o_custkey % 3 <> 0 AS legible, o_custkey % 5 = 0 AS w15 FROM orders)
-    SELECT k, CASE WHEN fault = 3 THEN 'no object' WHEN fault = 4 THEN 'missing key' WHEN fault = 5 THEN 'unknown class' WHEN fault = 6 THEN 'not a boolean' END AS error,
-           CASE WHEN fault IN (3, 4, 5, 6) THEN NULL WHEN cls IN ('g1', 'w2') AND w15 THEN 'w15' WHEN cls IN ('g1', 'w2') AND NOT legible THEN 'unknown_face' ELSE cls END AS form_class,
-           CASE WHEN fault NOT IN (3, 4, 5, 6) AND cls IN ('g1', 'w2') AND w15 THEN cls END AS was, fault NOT IN (3, 4, 5, 6) AND cls IN ('g1', 'w2') AND NOT legible AND NOT w15 AS routed
-    FROM b
+    WITH b AS (SELECT o_orderkey AS k, o_orderkey % 9 AS fault, CASE o_orderkey % 4 WHEN 0 THEN 'g1' WHEN 1 THEN 'w2' WHEN 2 THEN 'completion_face_legacy' ELSE 'letter_memo' END AS cls, o_custkey % 3 <> 0 AS legible, o_custkey % 5 = 0 AS w15, o_custkey % 7 <> 0 AS face FROM orders),
+    r AS (SELECT *, fault NOT IN (3, 4, 5, 6, 8) AS fine, face AND cls IN ('g1', 'w2') AND NOT legible AS unread, face AND cls <> 'letter_memo' AND w15 AS other FROM b)
+    SELECT k, CASE fault WHEN 3 THEN 'no object' WHEN 4 THEN 'missing key' WHEN 5 THEN 'unknown class' WHEN 6 THEN 'not a boolean' WHEN 8 THEN 'unknown orientation' END AS error,
+           CASE WHEN fine THEN CASE WHEN other THEN 'w15' WHEN unread THEN 'completion_face_unknown_form' ELSE cls END END AS form_class, CASE WHEN fine THEN CASE WHEN face THEN 'face' ELSE 'continuation' END END AS part,
+           CASE WHEN fine AND (other OR unread) THEN cls END AS was, fine AND unread AND NOT other AS routed
+    FROM r
     """,
 )
 def strict_json_labels(spark, sf):
-    """Strict bodies; a header token corrects the class, an illegible number makes the face unknown."""
+    """Strict bodies; an illegible number makes a face unknown, a header token corrects the class."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     fault = k % 9
-    cls = F.element_at(F.array(*map(F.lit, ("g1", "w2", "other_form", "correspondence"))), (k % 4 + 1).cast("int"))
+    cls = F.get(F.array(*map(F.lit, ("g1", "w2", "completion_face_legacy", "letter_memo"))), (k % 4).cast("int"))
     legible = F.when(c % 3 != 0, "true").otherwise("false")
-    body = F.concat(F.lit('{"form_class": "'), F.when(fault == 5, "g7").otherwise(cls), F.lit('", "form_number_legible": '), F.when(fault == 6, '"yes"').otherwise(legible), F.when(fault == 4, "").otherwise(', "confidence": "high"'), F.lit("}"))
+    rest = F.concat(F.lit(', "part": "'), F.when(c % 7 != 0, "face").otherwise("continuation"), F.lit('", "orientation": "'), F.when(fault == 8, "left").otherwise("up"), F.lit('", "alt_class": null, "confidence": "high"'))
+    body = F.concat(F.lit('{"form_class": "'), F.when(fault == 5, "g7").otherwise(cls), F.lit('", "form_number_legible": '), F.when(fault == 6, '"yes"').otherwise(legible), F.when(fault == 4, "").otherwise(rest), F.lit("}"))
     text = F.when(fault == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(fault == 2, F.concat(F.lit("The page: "), body)).when(fault == 3, F.lit("I can't read it")).otherwise(body)
     rows = table(spark, sf, "orders").select(k.alias("k"), text.alias("body"), F.when(c % 5 == 0, F.array(F.lit("W-15"))).otherwise(F.array().cast("array<string>")).alias("header"))
-    return forms.page_labels(rows, "body", "header").select("k", "error", "form_class", "was", "routed")
+    return forms.page_labels(rows, "body", "header").select("k", "error", "form_class", "part", "was", "routed")
 
 
 def _report_flatten(spark, sf, orders):
@@ -261,16 +338,16 @@ def report_flatten_whole(spark, sf):
 @register(
     "vocab_normalise",
     """
-    WITH p AS (SELECT p_partkey AS k, trim(p_type) AS t, CASE WHEN p_partkey % 10 = 0 THEN '  ' WHEN p_partkey % 10 = 1 THEN 'Form W-2' WHEN p_partkey % 10 = 2 THEN 'G1' WHEN p_partkey % 10 = 3 THEN 'completion g-1' ELSE p_type END AS s FROM part)
-    SELECT k, nullif(trim(s), '') AS cleaned, CASE WHEN k % 10 = 1 THEN 'w2' WHEN k % 10 IN (2, 3) THEN 'g1' END AS form_class,
-           CASE WHEN k % 10 NOT IN (0, 1, 2, 3) THEN 'unknown class' WHEN k % 10 = 0 THEN 'empty' END AS error, concat(k, '-', k % 5, ' p', k % 3 + 1, '+p', k % 3 + 2) AS pair, CAST(k % 3 + 2 AS INT) AS second_page
+    WITH p AS (SELECT p_partkey AS k, trim(p_type) AS t, CASE WHEN p_partkey % 10 = 0 THEN '  ' WHEN p_partkey % 10 = 1 THEN 'Form 2' WHEN p_partkey % 10 = 2 THEN 'G-1' WHEN p_partkey % 10 = 3 THEN 'W4 Family' WHEN p_partkey % 10 = 4 THEN 'GWT-1' ELSE p_type END AS s FROM part)
+    SELECT k, nullif(trim(s), '') AS cleaned, CASE k % 10 WHEN 1 THEN 'completion_face_legacy' WHEN 2 THEN 'g1' WHEN 3 THEN 'w4_family' WHEN 4 THEN 'other_form' END AS form_class,
+           CASE WHEN k % 10 NOT IN (0, 1, 2, 3, 4) THEN 'unknown class' WHEN k % 10 = 0 THEN 'empty' END AS error, concat(k, '-', k % 5, ' p', k % 3 + 1, '+p', k % 3 + 2) AS pair, CAST(k % 3 + 2 AS INT) AS second_page
     FROM p
     """,
 )
 def vocab_normalise(spark, sf):
-    """Class names by vocabulary, then by alias; labels of pairs and back."""
+    """Class names by vocabulary, then by alias; labels of pairs and back."""
     k = F.col("p_partkey")
-    s = F.when(k % 10 == 0, "  ").when(k % 10 == 1, "Form W-2").when(k % 10 == 2, "G1").when(k % 10 == 3, "completion g-1").otherwise(F.col("p_type"))
+    s = F.when(k % 10 == 0, "  ").when(k % 10 == 1, "Form 2").when(k % 10 == 2, "G-1").when(k % 10 == 3, "W4 Family").when(k % 10 == 4, "GWT-1").otherwise(F.col("p_type"))
     rows = table(spark, sf, "part").select(k.alias("k"), s.alias("s"))
     pair = F.format_string("%d-%d p%d+p%d", F.col("k"), F.col("k") % 5, F.col("k") % 3 + 1, F.col("k") % 3 + 2)
     cls, error = forms.form_class("s")

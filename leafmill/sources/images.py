@@ -1,4 +1,4 @@
-"""Page texts by a pluggable extractor, image listings, sheet bounds of bilevel images."""
+"""Page texts by a pluggable extractor, word boxes, image listings, sheet bounds of bilevel images."""
 
 from __future__ import annotations
 
@@ -10,8 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators import forms
 
+# A line of a listing, the size of a page and a word with its box in markup.
 LISTED = r"^\s*(\d+)\s+\d+\s+image\s+(\d+)\s+(\d+)\s.*?\s(\d+)\s+(\d+)\s+\S+\s+\S+\s*$"
+PAGE_SIZE = r'<page width="([\d.]+)" height="([\d.]+)">'
+WORD_BOX = r'<word xMin="([\d.]+)" yMin="([\d.]+)" xMax="([\d.]+)" yMax="([\d.]+)">([^<]*)</word>'
 
 
 def texts(files: DataFrame, extract: Callable[[bytes], str]) -> DataFrame:
@@ -40,6 +44,16 @@ def listed_images(listings: DataFrame, key: str, text: str) -> DataFrame:
     return per.select(key, "page", F.when(one, F.col("w")).otherwise(0).alias("width"), F.when(one, F.col("h")).otherwise(0).alias("height"), F.when(one, F.col("dpi")).otherwise(0.0).alias("dpi"))
 
 
+def word_boxes(pages: DataFrame, key: str, markup: str) -> DataFrame:
+    """(key, n, text, box) of each word in a page's markup, numbered from 0, in fractions of the page; a page without a size has no words."""
+    size = [F.regexp_extract(markup, PAGE_SIZE, i).try_cast("double") for i in (1, 2)]
+    sized = pages.select(key, markup, size[0].alias("_w"), size[1].alias("_h")).where("_w > 0 AND _h > 0")
+    parts = F.arrays_zip(*(F.regexp_extract_all(F.col(markup), F.lit(WORD_BOX), F.lit(i)).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1", "text"), 1)))
+    words = sized.select(key, "_w", "_h", F.posexplode(parts).alias("n", "p"))
+    side = lambda name, whole: F.col(f"p.{name}").try_cast("double") / F.col(whole)
+    return words.select(key, "n", F.col("p.text").alias("text"), S.box(side("x0", "_w"), side("y0", "_h"), side("x1", "_w"), side("y1", "_h")).alias("box"))
+
+
 def bounds_of(image: np.ndarray, bright: int = 128) -> tuple[int, int, int, int] | None:
     """The box of rows and columns more than half of which is bright; none for a dark image."""
     lit = image >= bright
@@ -75,7 +89,7 @@ def sheet_bounds(files: DataFrame) -> DataFrame:
 
 def eligible(form_class: Column, part: Column, is_oversize: Column) -> Column:
     """Completion faces that bear data and aren't oversize."""
-    return form_class.isin("g1", "w2", "w15") & part.isin("face", "sec_ii", "sec_iii") & ~F.coalesce(is_oversize, F.lit(False))
+    return form_class.isin(*forms.COMPLETIONS) & part.isin("face", "sec_ii", "sec_iii", "continuation") & ~F.coalesce(is_oversize, F.lit(False))
 
 
 def search_items(text: Column) -> Column:

@@ -42,12 +42,12 @@ def test_texts_and_sheet_bounds(spark, tmp_path):
 
 
 def test_eligibility(spark):
-    df = spark.createDataFrame([("g1", "face", False), ("g1", "face", True), ("map", "face", None), ("w2", None, None), ("w2", "sec_ii", None)], "c string, p string, o boolean")
+    df = spark.createDataFrame([("g1", "face", False), ("g1", "face", True), ("plat_map", "face", None), ("w2", None, None), ("w2", "sec_ii", None)], "c string, p string, o boolean")
     assert [r[0] for r in df.select(images.eligible(F.col("c"), F.col("p"), F.col("o"))).collect()] == [True, False, False, None, True]
 
 
 def test_labels_that_no_page_has(spark):
-    rows = [("g1", None, None), ("map", "face", None), ("w2", "face", False), ("unknown_face", "back", None), ("g1", "face", True), ("other_form", None, False)]
+    rows = [("g1", None, None), ("plat_map", "face", None), ("w2", "face", False), ("completion_face_unknown_form", "back_instructions", None), ("g1", "face", True), ("other_form", None, False)]
     assert overlays.broken_labels(spark.createDataFrame(rows, "form_class string, part string, form_number_legible boolean")).count() == 4
 
 
