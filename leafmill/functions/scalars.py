@@ -198,9 +198,9 @@ def iou(x: Column, y: Column) -> Column:
 
 
 def clip(x: Column) -> Column:
-    """Within the page; null if nothing is left."""
+    """Within the page; null for no box and if nothing is left. ``least`` and ``greatest`` skip nulls, so no box is asked for first."""
     y = overlap(x, box(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(1.0)))
-    return F.when((y["r"] > y["l"]) & (y["b"] > y["t"]), y)
+    return F.when(x.isNotNull() & (y["r"] > y["l"]) & (y["b"] > y["t"]), y)
 
 
 def unit(x: Column, slack: float = 1e-6) -> Column:

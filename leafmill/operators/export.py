@@ -58,3 +58,26 @@ def chunks(requests: DataFrame, group: str, order: str, size: str, most_bytes: i
         return pdf.assign(batch=out)
 
     return requests.groupBy(group).applyInPandas(run, T.StructType([*requests.schema.fields, T.StructField("batch", T.LongType())]))
+
+
+def attachments(documents: DataFrame) -> DataFrame:
+    """P25: (record_id, file_index, page, face, fields) of each page that isn't its document's face, with the fields that agreed for it.
+
+    ``documents`` has record_id, file_index, face, pages and evidence, a map from page to fields; a page without any has none.
+    """
+    rows = documents.select("record_id", "file_index", "face", "evidence", F.explode("pages").alias("page")).where("page <> face")
+    fields = F.coalesce(F.try_element_at("evidence", F.col("page")), F.array().cast("array<string>"))
+    return rows.select("record_id", "file_index", "page", "face", fields.alias("fields"))
+
+
+def evidence_text(fields: Column, face: Column, page: Column, on_face: Column, on_page: Column) -> Column:
+    """For each field but the stamps, the printed box on either page, cut at 40 characters, ? where it isn't known."""
+    spot = lambda number, found, f: F.concat(F.lit("p"), number.cast("string"), F.lit(" <- "), F.left(F.coalesce(F.try_element_at(found, f), F.lit("?")), F.lit(40)))
+    shown = F.filter(fields, lambda f: f != "received_stamps")
+    return F.array_join(F.transform(shown, lambda f: F.concat(f, F.lit(": "), spot(face, on_face, f), F.lit(" | "), spot(page, on_page, f))), "; ")
+
+
+def stamps_text(number: Column, stamps: Column) -> Column:
+    """A page's stamps in one line, none where it has none."""
+    text = F.array_join(F.transform(stamps, lambda s: F.concat_ws(" ", s["office"], s["date"])), "; ")
+    return F.concat(F.lit("p"), number.cast("string"), F.lit(": "), F.coalesce(F.nullif(text, F.lit("")), F.lit("none")))

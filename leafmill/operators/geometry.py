@@ -21,6 +21,13 @@ def inverse(m: str) -> Column:
     return F.when(F.abs(det) > 1e-12, F.struct(*(F.try_divide(v, det).alias(k) for k, v in parts.items())))
 
 
+def box_through(m: str, x: Column) -> Column:
+    """The upright box around a box's four corners after the map."""
+    ends = [apply(m, x[a], x[b]) for a in "lr" for b in "tb"]
+    xs, ys = [e[0] for e in ends], [e[1] for e in ends]
+    return F.when(x.isNotNull(), F.struct(F.least(*xs).alias("l"), F.least(*ys).alias("t"), F.greatest(*xs).alias("r"), F.greatest(*ys).alias("b")))
+
+
 def _det(m: list[list[Column]]) -> Column:
     return m[0][0] * (m[1][1] * m[2][2] - m[1][2] * m[2][1]) - m[0][1] * (m[1][0] * m[2][2] - m[1][2] * m[2][0]) + m[0][2] * (m[1][0] * m[2][1] - m[1][1] * m[2][0])
 

@@ -45,3 +45,16 @@ def split(frame: DataFrame, key: str, seen: Column, every: int = 3, seed: int =
     """
     held = F.conv(F.substring(draw_key(seed, key), 1, 8), 16, 10).cast("long") % every == 0
     return frame.withColumn("half", F.when(seen | ~held, "development").otherwise("held_out"))
+
+
+def strangers(records: DataFrame, key: str, lease: str, size: int, seed: int = 0) -> DataFrame:
+    """At most ``size`` pairs (first, second) of records: neighbours in draw order, without those of one known lease.
+
+    Twice ``size`` records are drawn by a top-k, so only those are put in order; no pairs are made beyond the ones drawn.
+    """
+    drawn = simple(records.select(key, lease), key, 2 * size, seed)
+    place = drawn.withColumn("_n", F.row_number().over(Window.orderBy(draw_key(seed, key), key)) - 1)
+    half = F.floor(F.col("_n") / 2)
+    pair = place.groupBy(half.alias("_pair")).agg(*(F.max(F.when(F.col("_n") % 2 == side, F.struct(key, lease))).alias(name) for side, name in ((0, "a"), (1, "b"))))
+    apart = (F.coalesce(F.col(f"a.{lease}"), F.lit("")) == "") | ~F.col(f"a.{lease}").eqNullSafe(F.col(f"b.{lease}"))
+    return pair.where(F.col("b").isNotNull() & apart).select(F.col(f"a.{key}").alias("first"), F.col(f"b.{key}").alias("second"))

@@ -178,3 +178,18 @@ def correlation(x: Column, y: Column) -> Column:
     xy = total(F.zip_with(x, y, lambda a, b: a * b))
     vx, vy = xx - sx * sx / n, yy - sy * sy / n
     return F.when((vx > 1e-12) & (vy > 1e-12), (xy - sx * sy / n) / F.sqrt(F.when(vx > 1e-12, vx) * F.when(vy > 1e-12, vy)))
+
+
+def accuracy_by(rows: DataFrame, bucket: str, hit: Column) -> DataFrame:
+    """Hits and n for each bucket that rows name; a null or empty one is none, and a hit that can't be told is no hit."""
+    named = rows.where(F.coalesce(F.col(bucket), F.lit("")) != "")
+    out = named.groupBy(bucket).agg(F.count_if(F.coalesce(hit, F.lit(False))).alias("hits"), F.count(F.lit(1)).alias("n"))
+    return out.withColumn("accuracy", F.col("hits") / F.col("n"))
+
+
+def comparable(rows: DataFrame, item: str, arm: str, truth: DataFrame) -> DataFrame:
+    """Items with a truth that every arm among ``rows`` has a row for."""
+    each = rows.select(item, arm).distinct()
+    arms = each.agg(F.countDistinct(arm).alias("_arms"))  # one row
+    per = each.groupBy(item).agg(F.count(F.lit(1)).alias("_n"))
+    return per.join(F.broadcast(arms), F.col("_n") == F.col("_arms")).select(item).join(truth.select(item), item, "left_semi")

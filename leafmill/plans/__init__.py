@@ -1,3 +1,3 @@
 """Registered queries; importing this package registers them all."""
 
-from . import archive, extras, grouping, joining, sampling, scoring, templates, text, validation, windowing  # noqa: F401
+from . import archive, evidence, extras, grouping, joining, sampling, scoring, storage, templates, text, validation, windowing  # noqa: F401

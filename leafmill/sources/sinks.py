@@ -64,5 +64,5 @@ def write_template(df: DataFrame, path: str, key: list[str]) -> None:
 
 
 def write_sheet(df: DataFrame, path: str) -> None:
-    """K9"""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """K9: quotes are doubled, as ``read_sheet`` reads them."""
+    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
