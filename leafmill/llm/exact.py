@@ -1,9 +1,11 @@
 """Operator 8: exact deduplication by a tree-merge of sorted digest runs. DataFrame functions only.
 
-Each row becomes (digest, row identity). The rows of a run are grouped by digest; groups of runs then
-merge, ``FAN_IN`` (a power of two: so many binomial rounds at once) at a time, until one run is left. A merge
-sorts by digest and keeps one row for each digest: the wanted identity and the number of rows. A digest counts
-as the same only with the same byte length and the same second hash, at every level.
+Each row becomes (digest, row identity). The rows of a run are sorted by digest and become one row for each. Then runs
+meet in rounds, ``FAN_IN`` (a power of two: so many binomial rounds at once) at a time, until one run is left: a round sends every row to its
+group of runs and its slice of the digest space, so the work of a round is spread as widely as the first one's however few runs
+are left. What arrives are sorted blocks, which the sort merges (a merge sort that finds runs), once a round; of equal
+digests the wanted identity and the number of rows are kept. A digest counts as the same only with the same byte length
+and the same second hash, at every level.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-RUNS, FAN_IN = 512, 8
+RUNS, FAN_IN, SLICE_BITS = 512, 8, 12
 _KEY = ["digest", "n_bytes", "check"]
 
 
@@ -32,11 +34,14 @@ def merge_runs(rows: DataFrame, keep: str = "max", runs: int = RUNS, fan_in: int
     if keep != "max":
         level = level.withColumn("kept", F.struct(F.col("kept.id").isNull().alias("known"), "kept.id", "kept.row"))
     merge = [pick("kept").alias("kept"), F.sum("group_size").alias("group_size")]
-    level = level.groupBy("run", *_KEY).agg(*merge)
+    level = level.groupBy(*_KEY, "run").agg(*merge)
+    # bits of the digest itself, so equal digests are in one slice and a slice is a range
+    level = level.withColumn("slice", F.shiftright(F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long"), 32 - SLICE_BITS))
     while runs > 1:
         runs = -(-runs // fan_in)
-        level = level.withColumn("run", F.floor(F.col("run") / fan_in)).groupBy("run", *_KEY).agg(*merge)
-    return level.drop("run")
+        # grouped by more than what they are sent by: no second exchange, and one sort by digest
+        level = level.withColumn("run", F.floor(F.col("run") / fan_in)).repartition("run", "slice").groupBy(*_KEY, "run", "slice").agg(*merge)
+    return level.drop("run", "slice")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
