@@ -181,7 +181,7 @@ def located_values(spark, sf):
     """,
 )
 def tier_choice(spark, sf):
-    """The region of the best tier; templates only place what is present; pins are checked."""
+    """The region of the best tier; templates only place what is present; pins are checked."""
     boxes = _boxes(spark, sf)
     snap = boxes.where("id % 4 = 0").select("id", F.col("box.l").alias("snap_l"))
     template = boxes.where("id % 4 IN (0, 1)").select("id", S.clip(F.col("box")).alias("clipped"), (F.col("box.l") + 0.1).alias("template_l"))

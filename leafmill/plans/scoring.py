@@ -100,7 +100,7 @@ def grouping_sets_outcome(spark, sf):
     """,
 )
 def score_rates(spark, sf):
-    """Rates on three denominators by era; an era's label is its shortest spelling."""
+    """Rates on three denominators by era; an era's label is its shortest spelling."""
     k, w, f = F.col("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderkey") % 6
     got = F.when(f == 0, w).when(f == 1, F.concat(F.upper(w), F.lit("."))).when(f == 2, "other").when(f == 4, "1,000")
     rev = F.when(k % 4 == 0, "Rev. 4/1/83").when(k % 4 == 1, "REV 4-1-83.").when(k % 4 == 2, "Rev. 6/30/75")

@@ -41,7 +41,7 @@ def norm_fold_tokens(spark, sf):
     """,
 )
 def link_tokens(spark, sf):
-    """Tokens found by a pattern over markup, and the pages that have each."""
+    """A2: tokens found by a pattern over markup, and the pages that have each."""
     found = table(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="/([^"]*)"'), F.lit(1))).alias("token")).where("token <> ''")
     return found.groupBy("token").agg(F.countDistinct("page_id").alias("pages"), F.count(F.lit(1)).alias("links"))
 
@@ -315,7 +315,7 @@ def _report_flatten(spark, sf, orders):
     """,
 )
 def report_flatten(spark, sf):
-    """Nested reports as one row per dotted field; absence keeps no text, unknown keys are counted."""
+    """Nested reports as one row per dotted field; absence keeps no text, unknown keys are counted."""
     return _report_flatten(spark, sf, table(spark, sf, "orders"))
 
 
@@ -331,7 +331,7 @@ def report_flatten(spark, sf):
     """,
 )
 def report_flatten_whole(spark, sf):
-    """report_flatten over every report."""
+    """report_flatten over every report."""
     return _report_flatten(spark, sf, table(spark, sf, "orders"))
 
 
