@@ -6,6 +6,7 @@ import atexit
 import gc
 import shutil
 import tempfile
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -80,9 +81,14 @@ def release(spark: SparkSession, paths: list[str]) -> None:
 
 
 def sweep(spark: SparkSession) -> None:
-    """Let the driver collect plans that are done with, so that executors delete these plans' shuffle files."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let the driver collect plans that are done with, so that executors delete these plans' shuffle files.
+
+    The plan that ran last is only let go after a first collection, so there are two.
+    """
+    for pause in (0.3, 0):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(pause)
 
 
 def ship(spark: SparkSession) -> None:

@@ -31,6 +31,9 @@ SHINGLE, PERCENT, NEAR = 5, 80, 0.4
 FIRST, PIVOTS, CELL, WEIGHT = 2, 8, 512, 2_000_000
 #: Shingles put last in the order: the HOT most common ones of those met HOT_LEAST times; any order gives the same links.
 HOT, HOT_LEAST = 500_000, 6
+#: Bits of a hash that name a first region (names that meet by chance cost comparisons, no link); prefix shingles that are
+#: counted by one group; words of a bitmap of 64 rows each that may be broadcast, beyond which keys are joined by a shuffle.
+REGION_BITS, PART, WORDS = 40, 1_000_000, 1_000_000
 _CHUNK = 2_000_000
 _ODD = (np.random.default_rng(5).integers(0, 2**63, 64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 
@@ -104,19 +107,24 @@ def common_shingles(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndar
 
 def prefix(found: np.ndarray, hot: np.ndarray, weight: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The first shingles of a set: two sets alike enough share at least one of theirs."""
+    return cold_and_hot(found, hot, weight, percent)[0]
+
+
+def cold_and_hot(found: np.ndarray, hot: np.ndarray, weight: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The first shingles of a set, and how many of them come before the common ones."""
     n = len(found)
     if not n:
-        return found
+        return found, 0
     size = n - -(-percent * n // 100) + 1
     if not len(hot):
-        return found[:size]
+        return found[:size], size
     at = np.minimum(np.searchsorted(hot, found), len(hot) - 1)
     is_hot = hot[at] == found
     cold = found[~is_hot]
     if len(cold) >= size:
-        return cold[:size]
+        return cold[:size], size
     rest = found[is_hot]
-    return np.concatenate([cold, rest[np.lexsort((rest, weight[at[is_hot]]))][: size - len(cold)]])
+    return np.concatenate([cold, rest[np.lexsort((rest, weight[at[is_hot]]))][: size - len(cold)]]), len(cold)
 
 
 def sketch(found: np.ndarray) -> bytes:
@@ -138,9 +146,10 @@ def most_shared(a: bytes, b: bytes, na: int, nb: int) -> int:
 
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str, percent: int = PERCENT) -> DataFrame:
-    """(id, row, n, digest, sketch, prefix, packed), stored; ``packed`` is the compressed text.
+    """(id, row, n, digest, sketch, prefix, cold, packed), stored; ``packed`` is the compressed text.
 
-    The last three are null where the same set came before in the task, so a hot group of copies has one a task.
+    ``prefix`` names the first shingles by REGION_BITS of their hashes; the first ``cold`` aren't among the common ones.
+    The last four are null where the same set came before in the task, so a hot group of copies has one a task.
     """
     common.arrow_limits(docs.sparkSession)
     hot, weight = common_shingles(docs, text_col)
@@ -150,7 +159,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, percent: int = PE
 
         known, pack, seen = _Words(), zstandard.ZstdCompressor(level=3).compress, set()
         for batch in batches:
-            ns, digests, sketches, prefixes, packed = [], [], [], [], []
+            ns, digests, sketches, prefixes, colds, packed = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingles(text, known)
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
@@ -161,16 +170,119 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, percent: int = PE
                 ns.append(len(found))
                 digests.append(digest)
                 sketches.append(sketch(found) if new else None)
-                prefixes.append(prefix(found, hot, weight, percent).view(np.int64) if new else None)
+                first, cold = cold_and_hot(found, hot, weight, percent) if new else (None, None)
+                prefixes.append((first >> np.uint64(64 - REGION_BITS)).view(np.int64) if new else None)
+                colds.append(cold)
                 packed.append(pack(text) if new else None)
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, (ns, digests, sketches, prefixes, packed), kinds)], names=["id", "n", "digest", "sketch", "prefix", "packed"])
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, (ns, digests, sketches, prefixes, colds, packed), kinds)], names=["id", "n", "digest", "sketch", "prefix", "cold", "packed"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    sets = docs.select(F.col(id_col).alias("id"), common.text_of(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, n long, digest binary, sketch binary, prefix array<long>, packed binary")
+    sets = docs.select(F.col(id_col).alias("id"), common.text_of(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, n long, digest binary, sketch binary, prefix array<long>, cold long, packed binary")
     return materialise(sets.withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
 
 
+def packed_columns(*columns: np.ndarray) -> bytes:
+    """Whole numbers of up to 64 bits, the bytes of each place together and compressed on their own: high ones are alike."""
+    import zstandard
+
+    pack, out = zstandard.ZstdCompressor(level=1).compress, []
+    for column in columns:
+        for place in column.astype("<u8").view(np.uint8).reshape(-1, 8).T:
+            out.append(pack(place.tobytes()) if place.any() else b"")
+    return np.array([len(x) for x in out], "<u4").tobytes() + b"".join(out)
+
+
+def unpacked_columns(data: bytes, size: int, columns: int) -> list[np.ndarray]:
+    """``columns`` columns of ``size`` numbers, as ``packed_columns`` was given them."""
+    import zstandard
+
+    unpack, at, out = zstandard.ZstdDecompressor().decompress, 32 * columns, []
+    ends = at + np.cumsum(np.frombuffer(data, "<u4", 8 * columns).astype(np.int64))
+    for k in range(columns):
+        bytes_of = np.zeros((8, size), np.uint8)
+        for j, end in enumerate(ends[8 * k : 8 * k + 8].tolist()):
+            if end > at:
+                bytes_of[j] = np.frombuffer(unpack(data[at:end]), np.uint8)
+            at = end
+        out.append(np.ascontiguousarray(bytes_of.T).view("<u8").reshape(-1))
+    return out
+
+
+def shared_prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(region, row, i): the i-th first shingle of a row, if another row has it too and one has it early.
+
+    Most first shingles stand in one row only. So each task sorts its own and sends them, a block for each range of
+    hashes, as steps from one to the next with row and place: 5 or 6 bytes a shingle, once. What counts as common is
+    met often for certain, is not counted and never meets in one group; of any other shingle a group gets few rows.
+    """
+    spark = sets.sparkSession
+    total = sets.agg(F.sum("cold")).first()[0] or 0
+    parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // PART + 1)
+
+    def deal(batches):
+        held, size = [], 0
+
+        def out():
+            v, row, code = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(v, kind="stable")
+            v, row, code, base = v[order], row[order], code[order], row.min()
+            part = (v * np.uint64(parts)) >> np.uint64(REGION_BITS)
+            cuts = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))
+            blocks = [slice(*x) for x in zip(cuts.tolist(), [*cuts[1:].tolist(), len(v)], strict=True)]
+            data = [packed_columns(np.diff(v[x], prepend=np.uint64(0)), row[x] - base, code[x]) for x in blocks]
+            columns = (part[cuts].astype(np.int64), np.full(len(cuts), base, np.int64), [x.stop - x.start for x in blocks])
+            return pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in columns), pa.array(data, pa.binary())], names=["part", "base", "size", "data"])
+
+        for batch in batches:
+            row, n, cold = (batch.column(k).to_numpy() for k in range(3))
+            lengths = np.diff(batch.column(3).offsets.to_numpy())
+            v = batch.column(3).flatten().to_numpy().view(np.uint64)
+            i = np.arange(len(v)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            early = (100 + percent) * (np.repeat(n, lengths) - i) // percent >= 2 * np.repeat(n, lengths)
+            keep = i < np.repeat(cold, lengths)
+            if keep.any():
+                held.append((v[keep], np.repeat(row, lengths)[keep], (2 * i + early)[keep]))
+                size += int(keep.sum())
+            if size > _CHUNK:
+                yield out()
+                held, size = [], 0
+        if held:
+            yield out()
+
+    def meet(key, pdf):
+        import pandas as pd
+
+        v, row, code = [], [], []
+        for base, size, data in zip(pdf["base"].tolist(), pdf["size"].tolist(), pdf["data"], strict=True):
+            steps, rows, codes = unpacked_columns(bytes(data), size, 3)
+            v.append(np.cumsum(steps))
+            row.append(rows.astype(np.int64) + base)
+            code.append(codes.astype(np.int64))
+        v, row, code = map(np.concatenate, (v, row, code))
+        order = np.argsort(v, kind="stable")
+        v, row, code = v[order], row[order], code[order]
+        starts = np.flatnonzero(np.diff(v, prepend=v[:1] + np.uint64(1)))
+        counts = np.diff(starts, append=len(v))
+        keep = np.repeat((counts > 1) & (np.maximum.reduceat(code & 1, starts) > 0), counts)
+        return pd.DataFrame({"region": v[keep].astype(np.int64), "row": row[keep], "i": code[keep] >> 1})
+
+    blocks = sets.where("cold > 0").select("row", "n", "cold", "prefix").mapInArrow(deal, "part long, base long, size long, data binary")
+    rows = blocks.groupBy("part").applyInPandas(meet, "region long, row long, i long")
+    common_ones = sets.where("size(prefix) > cold").select("row", "cold", F.posexplode("prefix").alias("i", "region")).where("i >= cold")
+    return rows.unionByName(common_ones.select("region", "row", F.col("i").cast("long")))
+
+
+def among(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``sets`` whose node is in ``nodes``. Nodes are row numbers, so a bitmap of them is small, and no text is shuffled."""
+    here = F.expr("cast(node & 63 AS int)")
+    bits = nodes.select(F.expr("shiftright(node, 6)").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), here).alias("bit"))
+    words = materialise(bits.groupBy("word").agg(F.bit_or("bit").alias("bits")), "words")
+    how = "broadcast" if words.count() <= WORDS else "merge"
+    rows = sets.withColumn("word", F.expr("shiftright(node, 6)")).join(words.hint(how), "word")
+    return rows.where(F.call_function("shiftright", F.col("bits"), here).bitwiseAND(F.lit(1).cast("long")) == 1).select(*sets.columns)
+
+
 def _both(pairs: DataFrame, sets: DataFrame, what: str) -> DataFrame:
     """(a, b, upto, na, nb, x, y): each pair with ``what`` of its two sets. The sets are joined once, not once a side."""
     ends = pairs.select("a", "b", "upto", F.explode(F.array("a", "b")).alias("node")).join(sets.select("node", "n", F.col(what).alias("x")), "node")
@@ -219,7 +331,8 @@ def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, low, high, linked) of pairs (a, b, upto): exact where the sketches leave open that the distance is at most ``upto``."""
     bounds = materialise(_bounds(pairs, sets), "bounds")
     least = 1 - F.col("most") / (F.col("na") + F.col("nb") - F.col("most"))
-    exact = _overlaps(bounds.where(least <= F.col("upto") + 1e-9), sets)
+    unsettled = bounds.where(least <= F.col("upto") + 1e-9)
+    exact = _overlaps(unsettled, among(sets, unsettled.select(F.explode(F.array("a", "b")).alias("node"))))
     rows = bounds.join(exact, ["a", "b"], "left")
     either = F.col("na") + F.col("nb") - F.coalesce("both", "most")
     far = 1 - F.coalesce("both", "most") / either
@@ -325,11 +438,8 @@ def first_regions(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     Counts and bounds of a region are sums joined back to its rows, so the rows of a hot shingle are never in one task.
     """
     most, wide = F.expr(f"({100 + percent} * (n - i)) div {percent} - n"), 100 / percent
-    early = most >= F.col("n")
-    rows = sets.select("row", "n", F.posexplode("prefix").alias("i", "region"))
     # a shingle that only one row has, or that none has early, starts no region
-    shared = rows.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.max(early).alias("any_early")).where("c > 1 AND any_early").select("region")
-    rows = rows.join(shared, "region").select("region", "row", "i").join(nodes, "row").withColumn("most", most).select("region", "node", "n", "most")
+    rows = shared_prefixes(sets, percent).join(nodes, "row").withColumn("most", most).select("region", "node", "n", "most")
     early = F.col("most") >= F.col("n")
     # Sets alike enough are of like size: their bands, a step of 100 / percent each, are the same or next to each
     # other, so a set goes to its band's region, and to the next one's if a partner there isn't too large.
@@ -362,9 +472,9 @@ def links(sets: DataFrame, nodes: DataFrame, percent: int = PERCENT, pivots: int
     level = start.withColumns({"low": F.lit(0.0), "high": F.lit(1.0), "home": F.lit(True), "was": F.lit(2**62), "comp": F.col("node")})
     level = materialise(alive_regions(level, cell), "regions")
     common.discard(start)
-    # what is compared later is moved once; the first row with a set has its text and is its node
+    # what is compared later is stored once more; the first row with a set has its text and is its node
     near_sets = sets.where("packed IS NOT NULL").select(F.col("row").alias("node"), "n", "sketch", "packed")
-    near_sets = materialise(near_sets.join(level.select("node").distinct().hint("merge"), "node", "left_semi"), "region-sets")
+    near_sets = materialise(among(near_sets, level.select("node")), "region-sets")
     common.sweep(spark)
     comps, number = None, 0
     while not level.isEmpty():

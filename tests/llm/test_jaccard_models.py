@@ -472,3 +472,55 @@ def test_quality_by_a_plain_discriminant():
         density[k] = -0.5 * np.einsum("ij,jk,ik->i", d, np.linalg.inv(c), d) - 0.5 * np.linalg.slogdet(c)[1] + math.log(n / 500)
     want = 1 / (1 + np.exp(-np.clip(density[1] - density[0], -30, 30)))
     assert np.allclose(model.scores(probe), want, atol=1e-7)
+
+
+def shuffled(spark):
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_jaccard_join_sends_neither_texts_that_meet_nothing_nor_prefixes_twice(spark):
+    """Random texts with a few near copies: what is shuffled is a part of the compressed texts."""
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 50_000, 400))) for i in range(400)]
+    rows += [(400 + i, rows[i][1] + " and more") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).localCheckpoint()
+    before = shuffled(spark)
+    out = joined(jaccard.jaccard_components(df))
+    assert shuffled(spark) - before < 0.75 * sum(len(zlib.compress(t.encode())) for _, t in rows)
+    assert [c for _, _, c in out] == [*range(400), *range(8)]
+
+
+@given(st.lists(st.lists(st.integers(0, 2**64 - 1), min_size=3, max_size=3), min_size=1, max_size=50))
+def test_packed_columns_come_back(rows):
+    columns = [np.array(c, np.uint64) for c in zip(*rows, strict=True)]
+    back = jaccard.unpacked_columns(jaccard.packed_columns(*columns), len(rows), 3)
+    assert all((a == b).all() for a, b in zip(columns, back, strict=True))
+
+
+def test_shared_prefixes_match_a_plain_join(spark, monkeypatch):
+    """Rows of a region by counting: another row has the shingle, one has it early; common ones always stay."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(300):
+        first = sorted({int(x) for x in rng.integers(0, 400, rng.integers(1, 12))} | {2**40 - 1 - int(rng.integers(0, 5))})
+        rows.append((k + (k % 3 << 33), int(rng.integers(len(first), 60)), first, int(rng.integers(0, len(first) + 1))))
+    monkeypatch.setattr(jaccard, "_CHUNK", 100)
+    df = spark.createDataFrame(rows + [(9000, 5, None, None)], "row long, n long, prefix array<long>, cold long").repartition(3)
+    held, want = defaultdict(list), set()
+    for row, n, first, cold in rows:
+        for i, x in enumerate(first):
+            if i < cold:
+                held[x].append((row, i, 180 * (n - i) // 80 - n >= n))
+            else:
+                want.add((x, row, i))
+    want |= {(x, row, i) for x, got in held.items() if len(got) > 1 and any(e for *_, e in got) for row, i, _ in got}
+    got = [tuple(r) for r in jaccard.shared_prefixes(df, 80).select("region", "row", "i").collect()]
+    assert len(got) == len(want) and set(got) == want
+    keep = {r[0] for r in rows[::7]}
+    nodes = spark.createDataFrame([(x,) for x in keep] * 2, "node long")
+    for most in (jaccard.WORDS, 0):  # by a broadcast bitmap and by a shuffle
+        monkeypatch.setattr(jaccard, "WORDS", most)
+        assert sorted(r.node for r in jaccard.among(df.withColumnRenamed("row", "node"), nodes).collect()) == sorted(keep)
