@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import stats
+from . import stats, tiles
 
 
 def previous_known(x: str, group: list[str], order: list[str]) -> Column:
@@ -108,11 +110,29 @@ def margin(a: Column, b: Column, real: list[str], control: list[str]) -> Column:
 
 
 def neighbours_in_radius(marks: DataFrame, page: str, ordinal: str, radius: float) -> DataFrame:
-    """How many other marks of the page, of comparable size, are within ``radius``: an equi-join on grid cells."""
-    cell = lambda c: F.floor(F.col(c) / radius)
-    own = marks.withColumn("cx", cell("x")).withColumn("cy", cell("y"))
-    near = own.select(page, F.col(ordinal).alias("o2"), F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("area").alias("a2"), F.explode(F.sequence(F.col("cx") - 1, F.col("cx") + 1)).alias("cx"), "cy")
-    near = near.withColumn("cy", F.explode(F.sequence(F.col("cy") - 1, F.col("cy") + 1)))
-    hit = (F.col("o2") != F.col(ordinal)) & (F.hypot(F.col("x") - F.col("x2"), F.col("y") - F.col("y2")) <= radius) & (F.greatest("area", "a2") <= 2 * F.least("area", "a2"))
-    counts = own.join(near, [page, "cx", "cy"]).where(hit).groupBy(page, ordinal).agg(F.count(F.lit(1)).alias("near"))
-    return marks.join(counts, [page, ordinal], "left").withColumn("near", F.coalesce("near", F.lit(0).cast("long")))
+    """How many other marks of the page, of comparable size, are within ``radius``.
+
+    Marks go to the tiles that they reach and are counted there by arrays, so no row is made for a pair. The counts are
+    joined by a sort, for their size isn't known before and a broadcast would pass the driver.
+    """
+    size, reach = 4 * radius, radius * (1 + 1e-6)
+    rows = marks.select(page, F.col(ordinal).alias("o"), *(F.col(c).cast("double").alias(c) for c in ("x", "y", "area")))
+    rows = rows.where((F.abs("x") < float("inf")) & (F.abs("y") < float("inf"))).dropna()
+    for t, c in (("tx", "x"), ("ty", "y")):
+        rows = rows.withColumn(t, F.explode(F.sequence(F.floor((F.col(c) - reach) / size), F.floor((F.col(c) + reach) / size))))
+    rows = rows.withColumn("own", (F.floor(F.col("x") / size) == F.col("tx")) & (F.floor(F.col("y") / size) == F.col("ty")))
+    keys = [page, "tx", "ty"]
+    kind = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+
+    def count(batches):
+        for table in tiles.whole_groups(batches, keys):
+            x, y, area, own = (tiles.array(table, c) for c in ("x", "y", "area", "own"))
+            ordinals = table["o"].combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+            near = tiles.near_counts(tiles.group_codes(table, keys), ordinals, x, y, area, own, radius)
+            some = np.flatnonzero(own)[near > 0]
+            out = table.select([page, "o"]).take(pa.array(some)).append_column("near", pa.array(near[near > 0]))
+            yield from out.to_batches(max_chunksize=50_000)
+
+    found = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(count, f"{page} {kind[page]}, o {kind['o']}, near long")
+    counts = found.groupBy(page, F.col("o").alias(ordinal)).agg(F.sum("near").alias("near"))
+    return marks.join(counts.hint("merge"), [page, ordinal], "left").withColumn("near", F.coalesce("near", F.lit(0).cast("long")))
