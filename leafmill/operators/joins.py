@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import difflib
-import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalars as S
+from . import tiles
 
 
 def adjacent(pages: DataFrame, file: str, page: str, carry: list[str]) -> DataFrame:
@@ -78,31 +79,21 @@ def fuzzy_labels(labels: DataFrame, specs: DataFrame, label: str, label_id: str,
 
 def greedy_pairs(left: list[dict], right: list[dict], reach: float, area_ratio: float) -> list[tuple[int, int, float]]:
     """Largest first, each takes its nearest free partner of comparable area within reach."""
-    free, out = set(range(len(right))), []
-    for i in sorted(range(len(left)), key=lambda i: (-left[i]["area"], left[i]["ordinal"])):
-        a, best = left[i], None
-        for j in sorted(free, key=lambda j: right[j]["ordinal"]):
-            b = right[j]
-            if min(a["area"], b["area"]) < area_ratio * max(a["area"], b["area"]):
-                continue
-            d = math.hypot(a["x"] - b["x"], a["y"] - b["y"])
-            if d <= reach and (best is None or d < best[0]):
-                best = (d, j)
-        if best:
-            free.discard(best[1])
-            out.append((i, best[1], best[0]))
-    return out
+    orders = [sorted(range(len(s)), key=lambda i, s=s: s[i]["ordinal"]) for s in (left, right)]
+    sides = [{c: np.array([s[i][c] for i in o], float) for c in ("x", "y", "area")} for s, o in zip((left, right), orders, strict=True)]
+    return [(orders[0][i], orders[1][j], d) for i, j, d in tiles.greedy(*sides, reach, area_ratio)]
 
 
 def greedy_match(marks: DataFrame, pair: str, reach: float, area_ratio: float = 0.5) -> DataFrame:
     """One-to-one matches within each pair of pages. ``marks``: pair, side (0 or 1), ordinal, x, y, area.
 
-    Order decides, so a page pair's marks meet in one task; a page has tens of marks.
+    Order decides, so a page pair's marks meet in one task, as arrays. A mark without place or area has no partner.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sides = [pdf[pdf["side"] == s].sort_values("ordinal").to_dict("records") for s in (0, 1)]
-        rows = [(pdf[pair].iloc[0], sides[0][i]["ordinal"], sides[1][j]["ordinal"], d) for i, j, d in greedy_pairs(*sides, reach, area_ratio)]
-        return pd.DataFrame(rows, columns=[pair, "left_ordinal", "right_ordinal", "distance"])
+        sides = [pdf[pdf["side"] == s].dropna(subset=["x", "y", "area"]).sort_values("ordinal", kind="stable") for s in (0, 1)]
+        found = tiles.greedy(*({c: s[c].to_numpy(float) for c in ("x", "y", "area")} for s in sides), reach, area_ratio)
+        i, j, d = ([m[k] for m in found] for k in range(3))
+        return pd.DataFrame({pair: pdf[pair].iloc[0], "left_ordinal": sides[0]["ordinal"].to_numpy()[i], "right_ordinal": sides[1]["ordinal"].to_numpy()[j], "distance": d}) if found else pd.DataFrame(columns=[pair, "left_ordinal", "right_ordinal", "distance"])
 
-    return marks.groupBy(pair).applyInPandas(run, f"{pair} long, left_ordinal long, right_ordinal long, distance double")
+    return marks.select(pair, "side", "ordinal", "x", "y", "area").groupBy(pair).applyInPandas(run, f"{pair} long, left_ordinal long, right_ordinal long, distance double")

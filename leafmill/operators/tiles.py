@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -149,3 +150,92 @@ def near_counts(tile: np.ndarray, ordinal: np.ndarray, x: np.ndarray, y: np.ndar
     order = np.argsort(same, kind="stable")
     one_by_one(np.arange(len(mine)), np.searchsorted(same[order], same[mine], "left"), np.searchsorted(same[order], same[mine], "right"), order, -1)
     return near
+
+
+class Near:
+    """Points by cells of a grid, about two to a cell: which of them are within a distance of other points."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, rows: np.ndarray):
+        self.x0, self.y0 = x[rows].min(), y[rows].min()
+        wide, tall = np.ptp(x[rows]), np.ptp(y[rows])
+        self.size = max(np.sqrt(wide * tall * 2 / len(rows)), max(wide, tall) * 2 / len(rows)) or 1.0
+        self.nx, self.ny = int(wide / self.size) + 1, int(tall / self.size) + 1
+        cell = self._at(y[rows], self.y0) * self.nx + self._at(x[rows], self.x0)
+        order = np.argsort(cell, kind="stable")
+        self.rows, self.first = rows[order], np.searchsorted(cell[order], np.arange(self.nx * self.ny + 1))
+
+    def _at(self, v: np.ndarray, origin: float) -> np.ndarray:
+        return np.floor((v - origin) / self.size).astype(np.int64)
+
+    def around(self, x: np.ndarray, y: np.ndarray, rings: int) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the point, row): all rows within ``rings`` cells' sizes of each point, and some more."""
+        cx, cy = self._at(x, self.x0), self._at(y, self.y0)
+        w, row = spread(np.maximum(cy - rings, 0), np.minimum(cy + rings + 1, self.ny))
+        west, east = np.clip(cx - rings, 0, self.nx)[w], np.clip(cx + rings + 1, 0, self.nx)[w]
+        v, place = spread(self.first[row * self.nx + west], self.first[row * self.nx + np.maximum(west, east)])
+        return w[v], self.rows[place]
+
+
+def greedy(left: dict[str, np.ndarray], right: dict[str, np.ndarray], reach: float, area_ratio: float, few: int = 4) -> list[tuple[int, int, float]]:
+    """Matches (left, right, distance) of two sides in order of their ordinals: the largest first, each with its nearest free partner.
+
+    Of a run of lefts the nearest of all free partners are found at once; then each takes the first one that is free
+    still. A left whose list is used up before ``reach`` looks further by itself, so the result is that of one loop.
+    """
+    free = bytearray(b"\1") * len(right["x"])
+    is_free = np.frombuffer(free, np.uint8)
+    order = np.lexsort((np.arange(len(left["x"])), -left["area"]))
+    left, out, at = {c: v[order] for c, v in left.items()}, [], 0
+
+    def lists(grid: Near, who: np.ndarray, rings: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """(left, right, distance) by left, distance and ordinal, and the distance up to which they are complete."""
+        sure, parts = rings * grid.size * (1 - 1e-9), []
+        for c in chunks(np.full(len(who), 2 * (2 * rings + 1) ** 2)):
+            w, r = grid.around(left["x"][who[c]], left["y"][who[c]], rings)
+            me = who[c][w]
+            a, b = left["area"][me], right["area"][r]
+            dx, dy = left["x"][me] - right["x"][r], left["y"][me] - right["y"][r]
+            keep = is_free[r].astype(bool) & (np.hypot(dx, dy) <= min(sure, reach * (1 + 1e-9))) & (np.minimum(a, b) >= area_ratio * np.maximum(a, b))
+            d = np.array(list(map(math.hypot, dx[keep].tolist(), dy[keep].tolist())), float)
+            near = (d <= reach) & (d <= sure * (1 - 1e-12))
+            parts.append((w[keep][near] + c.start, r[keep][near], d[near]))
+        w, r, d = (np.concatenate(v) for v in zip(*parts, strict=True))
+        by = np.lexsort((r, d, w))
+        return w[by], r[by], d[by], sure
+
+    while at < len(order):
+        end = min(len(order), at + min(8192, max(64, int(is_free.sum()) // 16)))
+        low, high = left["area"][end - 1], left["area"][at]
+        bound = max(abs(low), abs(high)) * 1e-9
+        rows = np.flatnonzero((is_free > 0) & (right["area"] >= min(area_ratio * low, low) - bound) & (right["area"] <= max(high / area_ratio, high) + bound))
+        if not len(rows):
+            at = end
+            continue
+        grid = Near(right["x"], right["y"], rows)
+        found, seen, open_, rings = {}, {}, np.arange(at, end), 1
+        while len(open_):
+            w, r, d, sure = lists(grid, open_, rings)
+            n = np.bincount(w, minlength=len(open_))
+            done = (n >= few) | (sure > reach)
+            starts = (np.cumsum(n) - n).tolist()
+            r, d, n = r.tolist(), d.tolist(), n.tolist()
+            for k in np.flatnonzero(done).tolist():
+                found[int(open_[k])] = (r, d, starts[k], starts[k] + n[k])
+                seen[int(open_[k])] = rings if sure <= reach else 0
+            open_, rings = open_[~done], rings * 2
+        for i in range(at, end):
+            r, d, a, b = found[i]
+            rings = seen[i]
+            while True:
+                k = next((k for k in range(a, b) if free[r[k]]), None)
+                if k is not None:
+                    free[r[k]] = 0
+                    out.append((int(order[i]), r[k], d[k]))
+                if k is not None or not rings:
+                    break
+                rings *= 2
+                _, far, gap, sure = lists(grid, np.array([i]), rings)
+                r, d, a, b = far.tolist(), gap.tolist(), 0, len(far)
+                rings = rings if sure <= reach else 0
+        at = end
+    return out
