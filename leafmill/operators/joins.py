@@ -6,6 +6,7 @@ import difflib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,21 +32,33 @@ def first_later(left: DataFrame, right: DataFrame, file: str, page: str, beyond:
 
 
 def mutual_unique(left: DataFrame, right: DataFrame, on: str, left_id: str, right_id: str, threshold: float = 0.3, grid: float = 0.1) -> DataFrame:
-    """Pairs of boxes on one page with IoU of ``threshold`` at least where neither side has another such pair.
+    """(on, left_id, right_id, iou) of pairs of boxes on one page with IoU of ``threshold`` at least where neither side has another such pair.
 
-    Boxes meet by grid cell, an equi-join; a pair is counted in the cell of its overlap's upper left corner only.
+    Each box is judged once, in the tile of its upper left corner, where all boxes come that may overlap it enough. It
+    counts partners up to two by arrays, so no row is made for a pair. ``threshold`` is above 0 and at most 1.
     """
-
-    def cells(df: DataFrame, name: str) -> DataFrame:
-        span = lambda lo, hi: F.sequence(F.floor(F.col(f"{name}.{lo}") / grid), F.floor(F.col(f"{name}.{hi}") / grid))
-        return df.withColumn("cx", F.explode(span("l", "r"))).withColumn("cy", F.explode(span("t", "b")))
-
-    pairs = cells(left, "box").join(cells(right.withColumnRenamed("box", "box2"), "box2"), [on, "cx", "cy"])
-    both = S.overlap(F.col("box"), F.col("box2"))
-    home = (F.floor(both["l"] / grid) == F.col("cx")) & (F.floor(both["t"] / grid) == F.col("cy"))
-    pairs = pairs.withColumn("iou", S.iou(F.col("box"), F.col("box2"))).where(home & (F.col("iou") >= threshold))
-    n1, n2 = (F.count(F.lit(1)).over(Window.partitionBy(on, c)) for c in (left_id, right_id))
-    return pairs.withColumn("n1", n1).withColumn("n2", n2).where("n1 = 1 AND n2 = 1").drop("n1", "n2", "cx", "cy")
+    size, far, near = 4 * grid, (1 - threshold) / threshold * (1 + 1e-6) + 1e-6, (1 - threshold) * (1 + 1e-6) + 1e-6
+    sides = [df.select(on, F.lit(s).alias("side"), F.col(i).alias("id"), *(F.col(f"{b}.{c}").cast("double").alias(c) for c in "ltrb")) for s, (df, i, b) in enumerate(((left, left_id, "box"), (right, right_id, "box")))]
+    rows = sides[0].unionByName(sides[1]).where((F.col("r") > F.col("l")) & (F.col("b") > F.col("t")) & (F.abs("l") + F.abs("t") + F.abs("r") + F.abs("b") < float("inf"))).where(F.col(on).isNotNull())
+    for t, lo, hi in (("tx", "l", "r"), ("ty", "t", "b")):
+        long = F.col(hi) - F.col(lo)
+        rows = rows.withColumn(t, F.explode(F.sequence(F.floor((F.col(lo) - far * long) / size), F.floor((F.col(lo) + near * long) / size))))
+    rows = rows.withColumn("own", (F.floor(F.col("l") / size) == F.col("tx")) & (F.floor(F.col("t") / size) == F.col("ty")))
+    keys = [on, "tx", "ty"]
+    kind = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+
+    def judge(batches):
+        for table in tiles.whole_groups(batches, keys):
+            side, own, *box = (tiles.array(table, c) for c in ("side", "own", *"ltrb"))
+            row, n, partner, iou = tiles.lone_partners(tiles.group_codes(table, keys), side, own, box, threshold)
+            out = table.select([on, "side", "id"]).take(pa.array(row)).append_column("n", pa.array(n)).append_column("partner", table["id"].take(pa.array(partner))).append_column("iou", pa.array(iou))
+            yield from out.to_batches(max_chunksize=50_000)
+
+    found = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(judge, f"{on} {kind[on]}, side int, id {kind['id']}, n long, partner {kind['id']}, iou double")
+    one = found.groupBy(on, "side", "id").agg(F.sum("n").alias("n"), F.first("partner").alias("partner"), F.first("iou").alias("iou")).where("n = 1")
+    front = F.col("side") == 0
+    pairs = one.groupBy(on, F.when(front, F.col("id")).otherwise(F.col("partner")).alias(left_id), F.when(front, F.col("partner")).otherwise(F.col("id")).alias(right_id))
+    return pairs.agg(F.count(F.lit(1)).alias("sides"), F.first("iou").alias("iou")).where("sides = 2").drop("sides")
 
 
 @F.pandas_udf(T.DoubleType())

@@ -239,3 +239,68 @@ def greedy(left: dict[str, np.ndarray], right: dict[str, np.ndarray], reach: flo
                 rings = rings if sure <= reach else 0
         at = end
     return out
+
+
+def lone_partners(tile: np.ndarray, side: np.ndarray, own: np.ndarray, box: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, how many, partner, IoU) of ``own`` rows with boxes of the other side at ``threshold`` at least: 1, or 2 for more.
+
+    A row is left as soon as it has two. Neighbours by row and left edge are tried first, then all rows that may do.
+    """
+    left, top, right, bottom = box
+    wide, tall, area = right - left, bottom - top, np.maximum(0.0, right - left) * np.maximum(0.0, bottom - top)
+    before, after = (1 - threshold) / threshold * (1 + 1e-6) + 1e-9, (1 - threshold) * (1 + 1e-6) + 1e-9
+    least = np.full(tile.max() + 1, np.inf), np.full(tile.max() + 1, np.inf)
+    for v, low in zip((left, top), least, strict=True):
+        np.minimum.at(low, tile, v)
+    x, y = left - least[0][tile], top - least[1][tile]
+    height = max(np.median(tall) / 4, y.max() / 1000)
+    line = np.floor(y / height).astype(np.int64)
+    lines, step = line.max() + 1, x.max() + (before + after + 1) * wide.max() + 1e-6
+    found = []
+    for s in (0, 1):
+        me, other = np.flatnonzero(own & (side == s)), np.flatnonzero(side != s)
+        if not len(me) or not len(other):
+            continue
+        band = tile * lines + line
+        other = other[np.lexsort((x[other], band[other]))]
+        bands = np.unique(band[other])
+        key = np.searchsorted(bands, band[other]) * step + x[other]
+        n, partner, score = np.zeros(len(me), np.int64), np.full(len(me), -1), np.zeros(len(me))
+
+        def look(open_: np.ndarray, lo: np.ndarray, hi: np.ndarray, me=me, other=other, n=n, partner=partner, score=score) -> None:
+            """Adds what the ranges [lo, hi) of ``other`` hold for the rows ``open_``."""
+            for part in chunks(np.maximum(hi - lo, 0)):
+                w, p = spread(lo[part], hi[part])
+                w = open_[part][w]
+                a, b = me[w], other[p]
+                both = np.maximum(0.0, np.minimum(right[a], right[b]) - np.maximum(left[a], left[b])) * np.maximum(0.0, np.minimum(bottom[a], bottom[b]) - np.maximum(top[a], top[b]))
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    iou = both / (area[a] + area[b] - both)
+                hit = (iou >= threshold) & (tile[a] == tile[b])
+                np.add.at(n, w[hit], 1)
+                partner[w[hit]], score[w[hit]] = b[hit], iou[hit]
+
+        def places(open_: np.ndarray, offset: int, shift: np.ndarray, edge: str, me=me, key=key, bands=bands) -> np.ndarray:
+            """Places of the left edge plus ``shift`` in the line ``offset`` lines below; lines without rows have none."""
+            want = tile[me[open_]] * lines + line[me[open_]] + offset
+            at = np.searchsorted(bands, want)
+            real = (at < len(bands)) & (bands[np.minimum(at, len(bands) - 1)] == want) & (line[me[open_]] + offset >= 0) & (line[me[open_]] + offset < lines)
+            return np.where(real, np.searchsorted(key, at * step + np.clip(x[me[open_]] + shift, 0, step * (1 - 1e-9)), edge), 0)
+
+        for reach in (4, 32):
+            open_ = np.flatnonzero(n < 2)
+            n[open_] = 0
+            at = places(open_, 0, np.zeros(len(open_)), "left")
+            look(open_, np.maximum(at - reach, 0), np.minimum(at + reach, len(key)))
+        open_ = np.flatnonzero(n < 2)
+        n[open_] = 0
+        up, down = (np.ceil(k * tall[me] / height).astype(np.int64) + 1 for k in (before, after))
+        for offset in sorted(range(-int(min(up.max(), lines)), int(min(down.max(), lines)) + 1), key=abs):
+            open_ = open_[n[open_] < 2]
+            some = open_[(-up[open_] <= offset) & (offset <= down[open_])]
+            if len(some):
+                w = wide[me[some]]
+                look(some, places(some, offset, -before * w - 1e-9, "left"), places(some, offset, after * w + 1e-9, "right"))
+        some = n > 0
+        found.append((me[some], np.minimum(n[some], 2), partner[some], score[some]))
+    return tuple(np.concatenate(v) for v in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3 + (np.zeros(0),)
