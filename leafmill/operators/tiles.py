@@ -304,3 +304,45 @@ def lone_partners(tile: np.ndarray, side: np.ndarray, own: np.ndarray, box: list
         some = n > 0
         found.append((me[some], np.minimum(n[some], 2), partner[some], score[some]))
     return tuple(np.concatenate(v) for v in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3 + (np.zeros(0),)
+
+
+def line_runs(page: np.ndarray, ordinal: np.ndarray, left: np.ndarray, right: np.ndarray, top: np.ndarray, matched: np.ndarray, cutoff: float, line: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, words, first, last) of each matched row's run: the rows at its two ends, and how many words it has."""
+    at = np.lexsort((top, page))
+    new = np.ones(len(at), bool)
+    new[1:] = (np.diff(page[at]) != 0) | ~(np.diff(top[at]) <= line)
+    group = np.cumsum(new) - 1
+    ends = np.append(np.flatnonzero(new)[1:], len(at)) - 1
+    drifts = top[at][ends] - top[at][new] > line
+    line_of = np.empty(len(at), np.int64)
+    line_of[at] = group
+    at = np.lexsort((ordinal, left, line_of))
+    group = line_of[at]
+    apart = np.ones(len(at), bool)
+    apart[1:] = (np.diff(group) != 0) | (left[at[1:]] - right[at[:-1]] > cutoff)
+    begin = np.flatnonzero(apart)
+    end, run = np.append(begin[1:], len(at)), np.cumsum(apart) - 1
+    place = np.flatnonzero(matched[at] & ~drifts[group])
+    lo, hi = begin[run[place]], end[run[place]] - 1
+    found = [(at[place], hi - lo + 1, at[lo], at[hi])]
+    for g in np.flatnonzero(drifts):
+        rows = at[slice(*np.searchsorted(group, [g, g + 1]))].tolist()
+        x, r, t = (dict(zip(rows, v[rows].tolist(), strict=True)) for v in (left, right, top))
+        walked = []
+        for k in np.flatnonzero(matched[rows]).tolist():
+            first = last = rows[k]
+            n = 1
+            for i in rows[k + 1 :]:
+                if abs(t[i] - t[last]) <= line:
+                    if x[i] - r[last] > cutoff:
+                        break
+                    last, n = i, n + 1
+            for i in reversed(rows[:k]):
+                if abs(t[i] - t[first]) <= line:
+                    if x[first] - r[i] > cutoff:
+                        break
+                    first, n = i, n + 1
+            walked.append((rows[k], n, first, last))
+        if walked:
+            found.append(tuple(np.array(walked).T))
+    return tuple(np.concatenate(v) for v in zip(*found, strict=True))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,32 +38,22 @@ def gap_cutoff(gaps: DataFrame, page: str, height: float = 0.012, least: int = 2
 def line_run(words: DataFrame, page: str, cutoff: float, line: float = 0.006) -> DataFrame:
     """For each page's matched word the run of words of its line without a wide gap, walking both ways.
 
-    The walk compares each word with the last one taken in, so its order matters: one page's words meet in one task.
+    The walk compares each word with the last one taken in. Where all words of a line are within ``line`` of each other and
+    farther from any other, both walks end where the line's words part, so runs are cut from arrays of whole pages. Lines that
+    drift into each other are walked word by word.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["left", "ordinal"])
-        rows = pdf.to_dict("records")
-        out = []
-        for start in (i for i, r in enumerate(rows) if r["matched"]):
-            lo = hi = rows[start]
-            taken = [rows[start]["ordinal"]]
-            for r in rows[start + 1 :]:
-                if abs(r["top"] - hi["top"]) <= line:
-                    if r["left"] - hi["right"] > cutoff:
-                        break
-                    hi = r
-                    taken.append(r["ordinal"])
-            for r in reversed(rows[:start]):
-                if abs(r["top"] - lo["top"]) <= line:
-                    if lo["left"] - r["right"] > cutoff:
-                        break
-                    lo = r
-                    taken.append(r["ordinal"])
-            out.append((pdf[page].iloc[0], rows[start]["ordinal"], lo["left"], hi["right"], len(taken)))
-        return pd.DataFrame(out, columns=[page, "ordinal", "left", "right", "words"])
-
-    return words.groupBy(page).applyInPandas(run, f"{page} long, ordinal long, left double, right double, words long")
+    def run(batches):
+        for table in tiles.whole_groups(batches, [page]):
+            row, words_, first, last = tiles.line_runs(tiles.group_codes(table, [page]), *(tiles.array(table, c) for c in ("ordinal", "left", "right", "top")), tiles.array(table, "matched"), cutoff, line)
+            ends = {"left": table["left"].take(pa.array(first)), "right": table["right"].take(pa.array(last))}
+            out = table.select([page, "ordinal"]).take(pa.array(row))
+            for name, column in ends.items():
+                out = out.append_column(name, column)
+            yield from out.append_column("words", pa.array(words_)).to_batches(max_chunksize=50_000)
+
+    rows = words.select(F.col(page).cast("long").alias(page), F.col("ordinal").cast("long").alias("ordinal"), *(F.col(c).cast("double").alias(c) for c in ("left", "right", "top")), F.coalesce("matched", F.lit(False)).alias("matched"))
+    return rows.repartition(page).sortWithinPartitions(page).mapInArrow(run, f"{page} long, ordinal long, left double, right double, words long")
 
 
 def prefix_rows(flag: str, group: list[str], order: list[str]) -> Column:
