@@ -32,7 +32,8 @@ FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(s
 
 
 def _words(spark, sf):
-    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("page"), F.posexplode(F.split("text", " ", -1)).alias("o", "w"))
+    # texts move once, a page to one task: what is grouped by page after that moves no words
+    rows = table(spark, sf, "documents").select("doc_id", "text").repartition("doc_id").select(F.col("doc_id").alias("page"), F.posexplode(F.split("text", " ", -1)).alias("o", "w"))
     n = F.length("w")
     left = (F.col("o") % 12) * 0.08 + (n % 4) * 0.005
     return rows.select("page", (F.col("o") + 1).cast("long").alias("ordinal"), "w", (F.floor(F.col("o") / 12) * 0.02).alias("top"), left.alias("left"), (left + F.least(n, F.lit(9)) * 0.006).alias("right"))
